@@ -29,10 +29,8 @@ BUCKET_ROWS = 2048
 #: Candidate lines or keys (numbers) up to which they are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 
-_rng = np.random.default_rng(11)
-_MULTIPLY = (_rng.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)).astype(np.uint32)
-_ADD = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
-_POWERS = np.cumprod(np.full(SHINGLE_BYTES, 0x100000001B3, dtype=np.uint64))
+#: Odd multipliers: each puts the shingles' 32-bit hashes in another order.
+_MULTIPLY = (np.random.default_rng(11).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
 
 
 def normal_form(line: bytes) -> bytes:
@@ -49,10 +47,9 @@ def shingle_codes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit codes of all shingles of the lines, and each line's first; a shorter line is one shingle, padded."""
     padded = [x if len(x) >= SHINGLE_BYTES else x + bytes(SHINGLE_BYTES - len(x)) for x in lines]
     sizes = np.array([len(x) for x in padded], dtype=np.int64)
-    flat = np.frombuffer(b"".join(padded), dtype=np.uint8).astype(np.uint64)
-    code = np.zeros(max(0, len(flat) - SHINGLE_BYTES + 1), dtype=np.uint64)
-    for i in range(SHINGLE_BYTES):
-        code += (flat[i : i + len(code)] + np.uint64(1)) * _POWERS[i]
+    flat = b"".join(padded)
+    # A shingle of eight bytes is one number, read at every byte.
+    code = np.ndarray((max(0, len(flat) - SHINGLE_BYTES + 1),), dtype="<u8", buffer=flat, strides=(1,))
     ends = np.cumsum(sizes)
     own = np.ones(len(code), dtype=bool)
     for back in range(1, SHINGLE_BYTES):  # shingles that would run into the next line
@@ -72,10 +69,8 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
         key = np.full(len(lines), band + 1, dtype=np.uint64)
         for row in range(ROWS):
             i = band * ROWS + row
-            value = low * _MULTIPLY[i]
-            value += _ADD[i]
-            value ^= value >> np.uint32(15)
-            key = _stir((key << np.uint64(7)) ^ np.minimum.reduceat(value, starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            least = np.minimum.reduceat(low * _MULTIPLY[i], starts)
+            key = _stir((key << np.uint64(7)) ^ least.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         keys[:, band] = key
     return keys.view(np.int64)
 
@@ -167,7 +162,8 @@ def _texts_of(docs: DataFrame, text: str, wanted: DataFrame, n_wanted: int) -> D
 def _edges(members: DataFrame, forms: DataFrame) -> DataFrame:
     """Links among the lines of each band key of ``members`` (k, id, n), with ``forms`` (id, form).
 
-    A key of many lines is dealt to blocks of at most BUCKET_ROWS; each pair of blocks is a bucket of its own.
+    A key of many lines is dealt to blocks of at most BUCKET_ROWS; each pair of blocks is a bucket of its own. Lines
+    that share several bands make equal buckets; of these one is compared.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     blocks = F.ceil(F.col("n") / BUCKET_ROWS * 2).cast("int")
@@ -175,7 +171,10 @@ def _edges(members: DataFrame, forms: DataFrame) -> DataFrame:
     placed = members.withColumn("block", block).withColumn("blocks", F.when(F.col("n") <= BUCKET_ROWS, F.lit(1)).otherwise(blocks))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least("block", other).alias("x"), F.greatest("block", other).alias("y")))
     dealt = placed.select("k", "id", F.explode(pairs).alias("p")).select("k", "id", "p.x", "p.y")
-    buckets = dealt.join(forms, "id").groupBy("k", "x", "y").agg(F.collect_list(F.struct("id", "form")).alias("rows"))
+    listed = dealt.groupBy("k", "x", "y").agg(F.sort_array(F.collect_list("id")).alias("ids")).where("size(ids) > 1")
+    once = cut(listed.select("ids").distinct().withColumn("bucket", F.monotonically_increasing_id()), "buckets")
+    rows = once.select("bucket", F.explode("ids").alias("id"))
+    buckets = rows.join(forms, "id").groupBy("bucket").agg(F.collect_list(F.struct("id", "form")).alias("rows"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
