@@ -27,6 +27,8 @@ MAX_BITS = 3
 BLOCKS = 5
 #: Up to so many distinct fingerprints a key are compared in one task; more take the path by neighbouring values.
 BUCKET_ROWS = 8192
+#: Rows to be dropped (32 bytes each) up to which their keys are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def fingerprint(text: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -175,7 +177,8 @@ def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text")
     marked = cut(judged.where("not is_first or copies > 1").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("is_first").alias("__first")), "marked")
     same = F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
     packed = docs.select(F.struct("*").alias("__row"), F.col(key).cast("long").alias("__key"), F.xxhash64(F.col(text)).alias("__text"))
-    kept = packed.join(marked, same, "left_anti").select("__row.*")
+    small = marked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    kept = packed.join(F.broadcast(marked) if small else marked, same, "left_anti").select("__row.*")
     repeated = marked.where("__first")
     if repeated.limit(1).count():
         once = packed.join(repeated, same, "left_semi").dropDuplicates(["__key", "__text"]).select("__row.*")
