@@ -27,7 +27,7 @@ from .common import bounded_batches, cut, new_path, record_batch
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 #: Pieces of text whose token ids a worker remembers.
-MEMORY_PIECES = 300_000
+MEMORY_PIECES = 800_000
 #: ORC: bytes of a stripe, rows of a row group, share of false positives of the Bloom filters.
 STRIPE_BYTES = 64 << 20
 GROUP_ROWS = 1000
