@@ -131,6 +131,10 @@ class Identifier:
     spread: np.ndarray
     grain: np.ndarray
 
+    def __getstate__(self) -> dict:
+        """Lookup tables are built in each worker and don't travel."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("table", "slots")}
+
     def ready(self) -> Identifier:
         if not hasattr(self, "table"):
             self.table = letter_table(self.alphabet)
