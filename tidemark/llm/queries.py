@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, licenses, linededup, lm, mixing, quality, sharding, simhash, tokens
+from . import decontam, langid, licenses, linededup, lm, mixing, oracles, quality, sharding, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,4 +61,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracles()
