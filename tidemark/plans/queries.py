@@ -109,7 +109,7 @@ def q_project_schema(spark, sf_dir):
     return schemas.project(_table(spark, sf_dir, "customer"), wanted)
 
 
-PAYLOAD = T.StructType.fromDDL("id long, value double")
+PAYLOAD = T.StructType([T.StructField("id", T.LongType()), T.StructField("value", T.DoubleType())])
 
 
 def envelopes(spark, sf_dir) -> DataFrame:
