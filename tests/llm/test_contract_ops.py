@@ -11,7 +11,7 @@ import pytest
 import xxhash
 
 from tests.llm.helpers import DDL, collected, corpus, frame
-from tidemark.llm import decontam, langid, mixing, quality, sharding, simhash, tokens
+from tidemark.llm import bands, decontam, langid, mixing, quality, sharding, simhash, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -246,13 +246,73 @@ def test_links_equal_all_pairs(spark, bucket_rows):
     assert {r.fp % 2**64: r.component_id for r in got} == slow_components(prints)
 
 
-def test_one_of_each_group_stays(spark):
-    docs = frame(spark)
+def slow_set(text):
+    words = lower(text).encode().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_near_groups(rows):
+    """{row number: group} by fingerprints of five words at 3 bits, and by similarity of 0.8 or more."""
+    prints, sets = [simhash.fingerprint((r[1] or "").encode(), 5) for r in rows], [slow_set(r[1]) for r in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if (prints[i] ^ prints[j]).bit_count() <= 3 or (both and both >= 0.8 * len(sets[i] | sets[j])):
+                group = [group[j] if g == group[i] else g for g in group]
+    return group
+
+
+def near_copies():
+    """Groups of texts a few words apart, chains whose ends are far apart, and texts just below the threshold."""
+    draw = np.random.default_rng(9)
+    rows = corpus()
+    for g in range(5):
+        base = [f"w{x}" for x in draw.integers(0, 5000, 200)]
+        chain = list(base)
+        for k in range(8):
+            rows.append((5000 + 100 * g + k, " ".join("new" + str(draw.integers(1e6)) if i in draw.choice(200, 1 + k) else w for i, w in enumerate(base)), "en", "s0", 1))
+            chain = [*chain[3:], *(f"v{x}" for x in draw.integers(0, 5000, 3))]
+            rows.append((5050 + 100 * g + k, " ".join(chain), "en", "s0", 1))
+    return rows
+
+
+@pytest.mark.parametrize("block, broadcast", [(256, 500_000), (2, 0)])
+def test_one_of_each_group_stays(spark, monkeypatch, block, broadcast):
+    """Small blocks deal the bands to pairs of blocks; no broadcast takes the joins by a shuffle."""
+    monkeypatch.setattr(bands, "BLOCK", block)
+    monkeypatch.setattr(bands, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", broadcast or 1_000_000)
+    rows = near_copies()
+    docs = frame(spark, rows)
     kept = simhash.keep_one_per_group(docs)
     assert kept.columns == docs.columns
-    component = slow_components([(r[0], slow_fingerprint(r[1])) for r in corpus()])
-    ids = Counter(r.doc_id for r in kept.collect())
-    assert ids == Counter(component.values())
+    least = {}
+    for row, g in zip(rows, slow_near_groups(rows), strict=True):
+        if row[0] is not None:
+            least[g] = min(row[0], least.get(g, row[0]))
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(least.values())
+    assert simhash.keep_one_per_group(spark.createDataFrame([], DDL)).collect() == []
+
+
+def test_links_across_equal_all_pairs():
+    draw = np.random.default_rng(2)
+    base = draw.integers(0, 1 << 40, (4, 60))
+    sets = [np.unique(np.where(draw.random(60) < 0.1 * draw.random(), draw.integers(0, 1 << 40, 60), base[i % 4])) for i in range(40)]
+    roots = [i // 2 * 2 for i in range(40)]
+    group = list(roots)
+    for i in range(40):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                group = [group[j] if g == group[i] else g for g in group]
+    found = list(roots)
+    edges = list(bands.links_across(roots, sets))
+    for a, b in edges:
+        x, y = found[roots.index(a)], found[roots.index(b)]
+        found = [y if g == x else g for g in found]
+    assert len({*zip(group, found, strict=True)}) == len(set(group)) == len(set(found))
+    assert len(edges) == len(set(roots)) - len(set(group))
 
 
 # --- 8: decontamination

@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import bands
 from .common import bounded_batches, cut, record_batch, utf8, words_of
 from .graph import connected_components
 
@@ -62,6 +63,22 @@ def with_fingerprints(docs: DataFrame, key: str, text: str, shingle_words: int =
     return narrow.mapInArrow(scan, "doc_id long, text_hash long, fp long")
 
 
+def with_sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, text_hash, fp, size, keys) for every row: with the size and the band keys of its shingle set."""
+    bounded_batches(docs.sparkSession)
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64()), ("size", pa.int32()), ("keys", pa.list_(pa.int64()))])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = utf8(batch, "t")
+            values = np.array([fingerprint(t, bands.SHINGLE_WORDS) for t in texts], dtype=np.uint64)
+            sets = [bands.shingle_set(t) for t in texts]
+            yield record_batch(schema, [batch.column(0), batch.column(1), pa.array(values.view(np.int64)), [len(s) for s in sets], [bands.band_keys(s) for s in sets]])
+
+    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("t"))
+    return narrow.mapInArrow(scan, "doc_id long, text_hash long, fp long, size int, keys array<long>")
+
+
 def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
@@ -141,8 +158,15 @@ def group_fingerprints(prints: DataFrame, blocks: int = BLOCKS, bits: int = MAX_
 
     Null ids are passed over by the minimum; a component with null ids only has a null component_id.
     """
-    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_docs")), "fingerprints")
-    roots = cut(connected_components(similar_fingerprints(nodes, blocks, bits, bucket_rows)), "roots")
+    nodes = cut(_nodes(prints), "fingerprints")
+    return _least_ids(nodes, cut(connected_components(similar_fingerprints(nodes, blocks, bits, bucket_rows)), "roots"))
+
+
+def _nodes(prints: DataFrame) -> DataFrame:
+    return prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_docs"))
+
+
+def _least_ids(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     linked = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return linked.join(least, "root").select("fp", "component_id")
@@ -161,12 +185,15 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
 
 def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each SimHash group: the least by id (nulls last), then by a hash of the text.
+    """``docs`` with one row of each group of near copies: the least by id (nulls last), then by a hash of the text.
 
-    Columns come back as they were. Of rows that are equal in id and text, one stays.
+    Fingerprints are of five-word shingles and link as in ``simhash_groups``; texts whose sets of such shingles have a
+    similarity of 0.8 or more are linked too, which most often differ in more bits. Columns come back as they were. Of rows that are equal in id and text, one stays.
     """
-    prints = cut(with_fingerprints(docs, key, text), "prints")
-    groups = cut(group_fingerprints(prints), "groups")
+    prints = cut(with_sketches(docs, key, text), "prints")
+    nodes = cut(_nodes(prints), "fingerprints")
+    roots = bands.link_groups(prints, docs, key, text, similar_fingerprints(nodes))
+    groups = cut(_least_ids(nodes, roots), "groups")
     rows = prints.join(groups.withColumnRenamed("component_id", "cid"), "fp")
     # A component of null ids only has no id to stand for it: its fingerprints' least value does.
     rows = rows.withColumn("g", F.struct(F.col("cid"), F.when(F.col("cid").isNull(), F.col("fp"))))
