@@ -1,6 +1,7 @@
 """The operators against brute force, on a small table of odd cases."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -177,6 +178,22 @@ def test_kneser_ney_is_a_distribution():
         assert total == pytest.approx(1.0)
 
 
+def test_languages_of_many_scripts_keep_their_letters():
+    """Latin, Cyrillic and Greek have more than 62 letters; two scripts beside them are told apart, a third is rejected."""
+    rng = random.Random(5)
+    latin, cyrillic, greek, hebrew = "abcdefghijklmnopqrstuvwxyz", *("".join(map(chr, range(a, a + n))) for a, n in ((0x430, 32), (0x3B1, 25), (0x5D0, 27)))
+    scripts = {"en": latin, "ru": cyrillic, "el": greek, "ko": "".join(map(chr, range(0xAC00, 0xAC00 + 300))), "zh": "".join(map(chr, range(0x4E00, 0x4E00 + 300))), "old": "".join(map(chr, range(0x20000, 0x20000 + 300)))}
+    lexicon = {k: ["".join(rng.choice(v) for _ in range(rng.randint(2, 4))) for _ in range(120)] for k, v in scripts.items()}
+    # The first three are the more frequent, so that their letters would fill a small alphabet.
+    sample = [(k, " ".join(rng.choice(own) for _ in range(80 if len(scripts[k]) < 40 else 40))) for k, own in lexicon.items() for _ in range(40)]
+    model = langid.fit(sample)
+    texts = [(k, " ".join(rng.choice(own) for _ in range(40))) for k, own in lexicon.items() for _ in range(10)]
+    names, _, rejected = model.predict([t for _, t in texts])
+    assert names == [k for k, _ in texts] and not rejected.any()
+    _, _, rejected = model.predict([" ".join("".join(rng.choice(hebrew) for _ in range(rng.randint(2, 4))) for _ in range(40)) for _ in range(10)])
+    assert rejected.all()
+
+
 def test_rejection_passes_columns_through(spark):
     docs = frame(spark, corpus(n=200))
     kept = langid.drop_rejected(docs)

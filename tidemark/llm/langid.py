@@ -21,8 +21,10 @@ UNKNOWN = "und"
 #: Fixed by the task: one in three documents is held out.
 HOLD_OUT = 3
 ORDER = 4
-#: Letters that have a symbol of their own; 0 stands for all that is no letter, the last for all other letters.
-SYMBOLS = 64
+#: Four symbols fill a 64-bit code, so there are more of them than letters in all scripts of Unicode's basic plane. Every
+#: letter of the labelled sample has its own; 0 stands for all that is no letter, one more for letters never labelled.
+BITS = 16
+SYMBOLS = 1 << BITS
 #: Labelled documents of a language that may be sampled to fit its model, and to calibrate rejection.
 FIT_DOCUMENTS = 400
 CALIBRATE_DOCUMENTS = 100
@@ -37,11 +39,9 @@ def held_out(key: Column) -> Column:
 
 
 def letter_table(alphabet: list[str]) -> np.ndarray:
-    """Code point -> symbol, for the basic plane; letters outside it are found one by one."""
-    table = np.zeros(0x10000, dtype=np.uint8)
-    for code in range(0x10000):
-        if chr(code).isalpha():
-            table[code] = SYMBOLS - 1
+    """Code point -> symbol; letters outside the alphabet share the symbol after its last."""
+    points = np.arange(0x110000, dtype=np.uint32).view("<U1")
+    table = np.where(np.char.isalpha(points), len(alphabet) + 1, 0).astype(np.uint16)
     for i, letter in enumerate(alphabet, start=1):
         table[ord(letter)] = i
     return table
@@ -50,51 +50,53 @@ def letter_table(alphabet: list[str]) -> np.ndarray:
 def symbols_of(text: str, table: np.ndarray) -> np.ndarray:
     """Symbols of a lower-cased text: runs of other characters count as one 0, also before and after the text."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    wide = codes >= 0x10000
-    out = table[np.where(wide, 0, codes)]
-    if wide.any():
-        out[wide] = [SYMBOLS - 1 if chr(c).isalpha() else 0 for c in codes[wide].tolist()]
-    framed = np.concatenate(([0], out, [0])).astype(np.uint8)
+    framed = np.concatenate(([0], table[codes], [0])).astype(np.uint16)
     keep = np.ones(len(framed), dtype=bool)
     keep[1:] = (framed[1:] != 0) | (framed[:-1] != 0)
     return framed[keep]
 
 
+def _last(code: np.ndarray, k: int) -> np.ndarray:
+    """Codes of the last k symbols."""
+    return code & np.uint64((1 << BITS * k) - 1)
+
+
 def grams(symbols: np.ndarray, order: int) -> np.ndarray:
     """Codes of the n-grams that end at each symbol but the first; before the text stand zeros."""
-    padded = np.concatenate((np.zeros(order - 2, dtype=np.int64), symbols.astype(np.int64))) if order > 1 else symbols.astype(np.int64)
+    padded = np.concatenate((np.zeros(order - 2, dtype=np.uint64), symbols.astype(np.uint64))) if order > 1 else symbols.astype(np.uint64)
     n = len(symbols) - 1
-    code = np.zeros(n, dtype=np.int64)
+    code = np.zeros(n, dtype=np.uint64)
     for i in range(order):
         start = len(padded) - n - (order - 1) + i
-        code = code * SYMBOLS + padded[start : start + n]
+        code = (code << np.uint64(BITS)) | padded[start : start + n]
     return code
 
 
 @dataclass
 class KneserNey:
     """One language's model: for each order, sorted n-gram codes with their discounted share, and of their contexts
-    the weight that goes to the next lower order."""
+    the weight that goes to the next lower order. Below the first order all of ``size`` symbols are equally likely."""
 
     codes: list[np.ndarray] = field(default_factory=list)
     shares: list[np.ndarray] = field(default_factory=list)
     contexts: list[np.ndarray] = field(default_factory=list)
     weights: list[np.ndarray] = field(default_factory=list)
+    size: int = SYMBOLS
 
     @classmethod
-    def fit(cls, texts: list[np.ndarray], order: int = ORDER) -> KneserNey:
+    def fit(cls, texts: list[np.ndarray], order: int = ORDER, size: int = SYMBOLS) -> KneserNey:
         """Counts of the highest order are occurrences; those of a lower one are distinct left neighbours."""
-        model = cls()
-        own = np.concatenate([grams(t, order) for t in texts]) if texts else np.empty(0, np.int64)
+        model = cls(size=size)
+        own = np.concatenate([grams(t, order) for t in texts]) if texts else np.empty(0, np.uint64)
         code, n = np.unique(own, return_counts=True)
         levels = [(code, n)]
         for k in range(order - 1, 0, -1):
-            code, n = np.unique(levels[0][0] % SYMBOLS**k, return_counts=True)
+            code, n = np.unique(_last(levels[0][0], k), return_counts=True)
             levels.insert(0, (code, n))
         for code, n in levels:
             once, twice = int((n == 1).sum()), int((n == 2).sum())
             discount = once / (once + 2 * twice) if once and twice else 0.5
-            context, place = np.unique(code // SYMBOLS, return_inverse=True)
+            context, place = np.unique(code >> np.uint64(BITS), return_inverse=True)
             total = np.bincount(place, weights=n).astype(np.float64) if len(code) else np.empty(0)
             kinds = np.bincount(place) if len(code) else np.empty(0)
             model.codes.append(code)
@@ -105,10 +107,10 @@ class KneserNey:
 
     def log2(self, code: np.ndarray) -> np.ndarray:
         """log2 of the probability of the last symbol of each n-gram code, given the symbols before it."""
-        chance = np.full(len(code), 1.0 / SYMBOLS)
+        code, chance = code.astype(np.uint64), np.full(len(code), 1.0 / self.size)
         for k, (codes, shares, contexts, weights) in enumerate(zip(self.codes, self.shares, self.contexts, self.weights, strict=True), start=1):
-            own = code % SYMBOLS**k
-            chance = _found(codes, shares, own, 0.0) + _found(contexts, weights, own // SYMBOLS, 1.0) * chance
+            own = _last(code, k)
+            chance = _found(codes, shares, own, 0.0) + _found(contexts, weights, own >> np.uint64(BITS), 1.0) * chance
         return np.log2(chance)
 
 
@@ -132,31 +134,26 @@ class Identifier:
     grain: np.ndarray
 
     def __getstate__(self) -> dict:
-        """Lookup tables are built in each worker and don't travel."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("table", "slots")}
+        """The lookup table is built in each worker and doesn't travel."""
+        return {k: v for k, v in self.__dict__.items() if k != "table"}
 
     def ready(self) -> Identifier:
         if not hasattr(self, "table"):
             self.table = letter_table(self.alphabet)
-            self.slots = np.zeros(SYMBOLS**ORDER, dtype=np.int32)
         return self
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(characters, bits per character in each language) of each text; 0 characters: no letter."""
         own = self.ready()
         symbols = [symbols_of(t, own.table) for t in texts]
-        codes = [grams(s, ORDER) if len(s) > 1 else np.empty(0, np.int64) for s in symbols]
+        codes = [grams(s, ORDER) if len(s) > 1 else np.empty(0, np.uint64) for s in symbols]
         sizes = np.array([len(c) for c in codes])
         bits = np.zeros((len(texts), len(own.languages)))
         if not sizes.sum():
             return sizes, bits
-        flat = np.concatenate(codes)
         # Each distinct n-gram of the batch is looked up once.
-        seen = np.zeros(SYMBOLS**ORDER, dtype=bool)
-        seen[flat] = True
-        distinct = np.flatnonzero(seen)
-        own.slots[distinct] = np.arange(len(distinct))
-        place = own.slots[flat]
+        coded = pa.array(np.concatenate(codes)).dictionary_encode()
+        distinct, place = coded.dictionary.to_numpy(), coded.indices.to_numpy()
         full = np.flatnonzero(sizes)
         starts = (np.cumsum(sizes) - sizes)[full]
         for j, model in enumerate(own.models):
@@ -211,8 +208,8 @@ def fit(sample: list[tuple[str, str]]) -> Identifier:
         by_lang.setdefault(name, []).append(text)
         for letter in text.lower():
             counts[letter] = counts.get(letter, 0) + 1
-    letters = sorted((x for x in counts if x.isalpha() and ord(x) < 0x10000), key=lambda x: (-counts[x], x))[: SYMBOLS - 2]
-    table = letter_table(letters)
+    letters = sorted((x for x in counts if x.isalpha()), key=lambda x: (-counts[x], x))[: SYMBOLS - 2]
+    table, size = letter_table(letters), len(letters) + 2
     languages = sorted(by_lang)
     models, kept = [], []
     for name in languages:
@@ -220,7 +217,7 @@ def fit(sample: list[tuple[str, str]]) -> Identifier:
         # Every fifth document calibrates; a language of few documents calibrates on those it was fitted to.
         rest = texts[::5] if len(texts) >= 10 else texts
         fitted = [t for i, t in enumerate(texts) if i % 5] if len(texts) >= 10 else texts
-        models.append(KneserNey.fit([symbols_of(t, table) for t in fitted]))
+        models.append(KneserNey.fit([symbols_of(t, table) for t in fitted], size=size))
         kept.append(rest)
     own = Identifier(languages, letters, models, *(np.zeros(len(languages)) for _ in range(3)))
     for j, rest in enumerate(kept):
