@@ -79,6 +79,36 @@ def test_scores_are_a_distribution(spark):
     assert total == pytest.approx(1.0, abs=1e-4)
 
 
+def test_frequent_words_are_contexts_and_targets_of_their_own(spark):
+    """All words beyond the head end in "a": only vectors of their own tell which word follows which."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    names = [f"w{i:03d}a" for i in range(400)]
+    rows = []
+    for i in range(1500):
+        own = [x for k in rng.integers(0, 200, 40) for x in (names[k], names[k + 200])]
+        rows.append((i, " ".join(own), "en", "s", 1))
+    docs = frame(spark, rows)
+    train = docs.where(~lm.held_out(F.col("doc_id"))).select(F.col("text").alias("t"))
+    assert lm.learn(train, vocabulary_count=10**6)[0].vocabulary() == 0
+    scorer, _ = lm.learn(train)
+    assert scorer.vocabulary() == 400 - lm.HEAD_WORDS  # grows with the words, no fixed number
+    scores = {c: np.mean([r.score / r.n_tokens for r in lm.score_documents(docs, vocabulary_count=c).collect() if r.held_out]) for c in (100, 10**6)}
+    assert scores[100] > scores[10**6] + 0.03
+
+    # After any two words, all words, the rests of the classes and the end sum to one.
+    own = scorer.ready()
+    for context in ([scorer.words[150].decode(), scorer.words[200].decode()], [scorer.words[3].decode(), "unseen"]):
+        texts = [[x.encode() for x in (*context, w)] for w in [*(x.decode() for x in scorer.words), *("?" + c for c in "abcdefghijklmnopqrstuvwxyzé!")]]
+        flow = own.flow(texts)
+        logs = own.log_scores(flow)
+        third = flow.starts + 2
+        end = own.log_scores(own.flow([[x.encode() for x in context]]))[2]
+        missing = sum(10 ** float(own.table[flow.before[2], flow.last[2], i]) for i in range(len(scorer.words), lm.HEAD_WORDS))
+        assert (10 ** logs[third]).sum() + 10**end + missing == pytest.approx(1.0, abs=1e-4)
+
+
 def test_triples_are_counted_within_texts(spark):
     table = spark.createDataFrame([("a b a",), (None,), ("a b",)], "t string")
     got = lm.count_triples(table, {b"a": 0, b"b": 1})

@@ -4,19 +4,22 @@ The model (Mnih and Hinton, 2007; Mnih and Teh, 2012) predicts a symbol from the
 is the sum of the context's vectors, each scaled by weights of its place, and a symbol's score is its dot product
 with the symbol's vector plus a bias. The 99 most frequent words are symbols of their own; other words share 28
 symbols by their last letter; the end of a text is a symbol. A word's probability is its symbol's, normalised by
-one matrix product over all symbols, times its smoothed share of its symbol's tokens, so that all words, unseen
-ones included, sum to one.
+one matrix product over all symbols. Every word of VOCABULARY_COUNT training tokens or more has vectors of its own, as
+context and as target, under its class (``lmwords``); the other words have their smoothed share of what their class
+leaves them. All words, unseen ones included, sum to one.
 
 What is learned from the corpus: counts of all words, and counts of all triples of symbols, of all training
-documents, both added up in a distributed way. The model is trained on those counts, so every training token has
-its say. Frequent words' counts are broadcast (a bounded number); the others' are joined.
+documents, both added up in a distributed way. The symbol model is trained on those counts and the words' vectors on
+all training texts, task by task, so every training token has its say. Frequent words' counts are broadcast; the
+others' are joined.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from copy import copy
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, chunks, crc_text, cut, record_batch, utf8, words_of
+from .lmwords import BLOCK, LEAST_TOKENS, MOST_PASSES, Trainer, Words
 
 #: Fixed by the task: smoothing of the unigram base, and the share of documents held out.
 SMOOTH = 0.1
@@ -36,7 +40,9 @@ END = HEAD_WORDS + CLASSES
 SYMBOLS = END + 1
 #: What stands before a text's first symbol; no tokens themselves.
 START, NO_TOKENS = np.array([END, END], dtype=np.int32), np.zeros(2, dtype=bool)
-#: At most so many words' counts are broadcast to the workers.
+#: Words of so many training tokens have vectors of their own, however many such words there are.
+VOCABULARY_COUNT = 100
+#: At most so many words' counts are broadcast to the workers, besides those of words with vectors.
 DICTIONARY_WORDS = 300_000
 #: Distinct words that a worker counts before it passes the counts on.
 COUNTER_WORDS = 400_000
@@ -107,8 +113,9 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("t").mapInArrow(scan, "word binary, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame, most: int = DICTIONARY_WORDS) -> list[tuple[bytes, int, int]]:
-    """The words above a count that at most ``most`` words reach, by falling count and then by word."""
+def frequent_words(counts: DataFrame, most: int = DICTIONARY_WORDS, all_from: int = VOCABULARY_COUNT) -> list[tuple[bytes, int, int]]:
+    """The words above a count that at most ``most`` words reach, and all of ``all_from`` tokens, by falling count and
+    then by word."""
     level = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
     levels = sorted(counts.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True)  # some hundred rows
     total, lowest = 0, None
@@ -117,9 +124,9 @@ def frequent_words(counts: DataFrame, most: int = DICTIONARY_WORDS) -> list[tupl
             break
         total, lowest = total + row["k"], row["l"]
     if lowest is None:
-        top = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS)
+        top = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).unionByName(counts.where(F.col("n") >= all_from)).distinct()
     else:
-        top = counts.where(level >= lowest)
+        top = counts.where((level >= lowest) | (F.col("n") >= all_from))
     table = top.select("word", "class", "n").toArrow()
     rows = zip(table.column(0).to_pylist(), table.column(1).to_pylist(), table.column(2).to_pylist(), strict=True)
     return sorted(rows, key=lambda r: (-r[2], r[0]))
@@ -221,6 +228,23 @@ def log_table(model: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
+@dataclass
+class Flow:
+    """Tokens of some texts: sizes and starts of the texts; of each token its place, whether it is outside the
+    dictionary, its symbol, the leaf to predict, and the symbols and leaves of the two words before it."""
+
+    sizes: np.ndarray
+    starts: np.ndarray
+    safe: np.ndarray
+    rare: np.ndarray
+    symbol: np.ndarray
+    target: np.ndarray
+    before: np.ndarray
+    last: np.ndarray
+    leaf_before: np.ndarray
+    leaf_last: np.ndarray
+
+
 @dataclass
 class Scorer:
     """All that a worker needs: the dictionary, its counts, the sizes of the classes and the model."""
@@ -233,6 +257,7 @@ class Scorer:
     class_words: np.ndarray
     ends: int
     model: dict[str, np.ndarray]
+    tree: Words | None = None
 
     def ready(self) -> Scorer:
         """Tables for lookups, built once in each worker."""
@@ -246,10 +271,76 @@ class Scorer:
             group = np.maximum(self.symbol - HEAD_WORDS, 0)
             own = np.where((self.symbol < HEAD_WORDS) | (self.symbol == END), 1.0, 0.0)
             group = np.where(self.symbol == END, 0, group)
-            self.inside = np.where(own > 0, 0.0, np.log10((counts + SMOOTH) / self.class_mass()[group]))
+            # The leaf of each place; heads, the end and words outside the vocabulary as contexts have none (-1).
+            n = self.vocabulary()
+            self.leaf = np.full(len(counts), -1, dtype=np.int64)
+            self.leaf[HEAD_WORDS : HEAD_WORDS + n] = self.tree.leaf
+            self.inside = np.where((own > 0) | (self.leaf >= 0), 0.0, np.log10((counts + SMOOTH) / self.tree.rest_mass[group]))
             self.table = log_table(self.model)
         return self
 
+    def vocabulary(self) -> int:
+        """Words beside the head's that have vectors."""
+        return len(self.tree.leaf)
+
+    def plant(self, least: int) -> Scorer:
+        """Give the words of ``least`` tokens or more their leaves."""
+        n = int((self.counts[HEAD_WORDS:] >= least).sum())
+        kinds = np.array([suffix_class(w) for w in self.words[HEAD_WORDS : HEAD_WORDS + n]], dtype=np.int64)
+        self.tree = Words.build(kinds, self.counts[HEAD_WORDS : HEAD_WORDS + n].astype(np.float64), self.class_mass(), SMOOTH, self.model["target"].shape[1])
+        return self
+
+    def flow(self, words: list[list[bytes]]) -> Flow:
+        """The tokens of some texts, with their contexts."""
+        sizes = np.array([len(w) + 1 for w in words])
+        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        place = np.full(int(sizes.sum()), len(self.words), dtype=np.int64)
+        for w, s in zip(words, starts.tolist(), strict=True):
+            place[s : s + len(w)] = np.fromiter(map(self.places.__getitem__, w), dtype=np.int64, count=len(w))
+        rare = place < 0
+        safe = np.where(rare, 0, place)
+        symbol = np.where(rare, HEAD_WORDS - 1 - place, self.symbol[safe])
+        leaf = np.where(rare, -1, self.leaf[safe])
+        context = []
+        for own, end in ((symbol, END), (leaf, -1)):
+            last = np.concatenate(([end], own[:-1]))
+            before = np.concatenate(([end, end], own[:-2]))[: len(own)]
+            before[starts], last[starts] = end, end
+            before[starts[sizes > 1] + 1] = end
+            context += [before, last]
+        in_class = (symbol >= HEAD_WORDS) & (symbol < END)
+        target = np.where(leaf >= 0, leaf, np.where(in_class, self.tree.rest[np.where(in_class, symbol - HEAD_WORDS, 0)], -1))
+        return Flow(sizes, starts, safe, rare, symbol, target, *context)
+
+    def own_vectors(self, flow: Flow) -> np.ndarray:
+        """What the words' own vectors add to the predicted vector of each token."""
+        padded = np.concatenate((self.tree.context, np.zeros((1, self.tree.context.shape[1]), dtype=np.float32)))
+        return padded[flow.leaf_before] * self.model["place"][0] + padded[flow.leaf_last] * self.model["place"][1]
+
+    def predicted(self, flow: Flow, at: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Predicted vectors of the tokens ``at``, with a one at the end for the bias."""
+        context, fixed = self.model["context"], self.tree.fixed()
+        before = context[flow.before[at]] + fixed[flow.leaf_before[at]]
+        last = context[flow.last[at]] + fixed[flow.leaf_last[at]]
+        q = before * self.model["place"][0] + last * self.model["place"][1] + own
+        return np.concatenate((q, np.ones((len(at), 1), dtype=np.float32)), axis=1)
+
+    def log_scores(self, flow: Flow) -> np.ndarray:
+        """log10 P of each token; a word outside the dictionary as all other words of its class together."""
+        score = self.table[flow.before, flow.last, flow.symbol].astype(np.float64) + np.where(flow.rare, 0.0, self.inside[flow.safe])
+        if not self.vocabulary():
+            return score
+        own = self.own_vectors(flow)
+        known = np.flatnonzero((flow.leaf_before >= 0) | (flow.leaf_last >= 0))
+        for i in range(0, len(known), BLOCK):
+            at = known[i : i + BLOCK]
+            change = own[at] @ self.model["target"].T
+            total = np.exp(self.table[flow.before[at], flow.last[at]] * np.float32(np.log(10)) + change).sum(axis=1)
+            score[at] += (change[np.arange(len(at)), flow.symbol[at]] - np.log(total)) / np.log(10)
+        at = np.flatnonzero(flow.target >= 0)
+        score[at] += self.tree.log_inside(flow.target[at], self.predicted(flow, at, own[at])) / np.log(10)
+        return score
+
     def all_mass(self) -> float:
         return self.tokens + SMOOTH * (self.distinct + 1)
 
@@ -257,10 +348,58 @@ class Scorer:
         return self.class_tokens + SMOOTH * (self.class_words + 1)
 
 
-def learn(texts: DataFrame, how: Training | None = None, dictionary_words: int = DICTIONARY_WORDS) -> tuple[Scorer, DataFrame]:
+def train_words(texts: DataFrame, scorer: Scorer, unigram: np.ndarray, seed: int) -> None:
+    """Train the words' vectors over all texts: each task on its own, rows averaged by the tokens behind them."""
+    tree = scorer.tree
+    width = scorer.model["target"].shape[1]
+    kinds = ("context", "words", "groups")
+    schema = pa.schema([("kind", pa.int32()), ("row", pa.int32()), ("n", pa.float64()), *((f"v{i}", pa.float32()) for i in range(width + 1))])
+    passes = max(1, min(MOST_PASSES, LEAST_TOKENS // max(scorer.tokens, 1)))
+    shared = texts.sparkSession.sparkContext.broadcast(scorer)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = copy(shared.value.ready())  # the lookup tables are built once in each worker
+        own.tree = replace(own.tree).zeros(width)
+        trainer = Trainer(own.tree, own.model["target"], unigram, seed + TaskContext.get().partitionId())
+        place = own.model["place"]
+        passed = (utf8(batch, "t") for batch in batches)
+        if passes > 1:  # a small corpus, held in memory
+            passed = list(passed) * passes
+        for texts in passed:
+            for a, b in chunks(texts, 1 << (16 if passes > 1 else 19)):
+                flow = own.flow([words_of(t) for t in texts[a:b]])
+                vectors = own.own_vectors(flow)
+                back = np.zeros_like(vectors)
+                known = np.flatnonzero((flow.leaf_before >= 0) | (flow.leaf_last >= 0))
+                for i in range(0, len(known), BLOCK):
+                    at = known[i : i + BLOCK]
+                    back[at] = trainer.symbols(own.table[flow.before[at], flow.last[at]] * np.float32(np.log(10)), flow.symbol[at], vectors[at])
+                at = np.flatnonzero(flow.target >= 0)
+                back[at] += trainer.leaves(flow.target[at], own.predicted(flow, at, vectors[at]))[:, :width]
+                one, two = np.flatnonzero(flow.leaf_before >= 0), np.flatnonzero(flow.leaf_last >= 0)
+                trainer.contexts(np.concatenate((flow.leaf_before[one], flow.leaf_last[two])), np.concatenate((back[one] * place[0], back[two] * place[1])))
+        for k, kind in enumerate(kinds):
+            rows, value = np.flatnonzero(trainer.seen[kind]), getattr(own.tree, kind)
+            for i in range(0, len(rows), 50_000):
+                part = rows[i : i + 50_000]
+                found = np.zeros((len(part), width + 1), dtype=np.float32)
+                found[:, : value.shape[1]] = value[part]
+                yield record_batch(schema, [pa.array(np.full(len(part), k, dtype=np.int32)), pa.array(part.astype(np.int32)), pa.array(trainer.seen[kind][part]), *(pa.array(x) for x in found.T.copy())])
+
+    ddl = "kind int, row int, n double, " + ", ".join(f"v{i} float" for i in range(width + 1))
+    means = [(F.sum(F.col(f"v{i}") * F.col("n")) / F.sum("n")).cast("float").alias(f"v{i}") for i in range(width + 1)]
+    got = texts.select("t").mapInArrow(scan, ddl).groupBy("kind", "row").agg(*means).toArrow()
+    which, rows = got.column(0).to_numpy(), got.column(1).to_numpy()
+    for k, kind in enumerate(kinds):
+        at, value = np.flatnonzero(which == k), getattr(tree, kind)
+        for i in range(value.shape[1]):
+            value[rows[at], i] = got.column(2 + i).to_numpy()[at]
+
+
+def learn(texts: DataFrame, how: Training | None = None, dictionary_words: int = DICTIONARY_WORDS, vocabulary_count: int = VOCABULARY_COUNT) -> tuple[Scorer, DataFrame]:
     """The scorer and the table of all words' counts, from training texts (column t)."""
     counts = cut(count_words(texts), "words")
-    top = frequent_words(counts, dictionary_words)
+    top = frequent_words(counts, dictionary_words, vocabulary_count)
     ends = texts.count()
     head = {w: i for i, (w, _, _) in enumerate(top[:HEAD_WORDS])}
     class_tokens, class_words, tokens, distinct = np.zeros(CLASSES), np.zeros(CLASSES), ends, int(ends > 0)
@@ -270,12 +409,16 @@ def learn(texts: DataFrame, how: Training | None = None, dictionary_words: int =
     for _, c, n in top[:HEAD_WORDS]:
         class_tokens[c] -= n
         class_words[c] -= 1
-    model = train(count_triples(texts, head), how)
-    scorer = Scorer([w for w, _, _ in top], np.array([n for _, _, n in top], dtype=np.int64), tokens, distinct, class_tokens, class_words, ends, model)
+    triples = count_triples(texts, head)
+    model = train(triples, how)
+    scorer = Scorer([w for w, _, _ in top], np.array([n for _, _, n in top], dtype=np.int64), tokens, distinct, class_tokens, class_words, ends, model).plant(vocabulary_count)
+    if scorer.vocabulary():
+        unigram = triples.sum(axis=(0, 1)) + SMOOTH
+        train_words(texts, scorer, unigram / unigram.sum(), (how or Training()).seed)
     return scorer, counts
 
 
-def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Training | None = None, dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
+def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Training | None = None, dictionary_words: int = DICTIONARY_WORDS, vocabulary_count: int = VOCABULARY_COUNT) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A null text is empty: its one token is the end. Held-out documents are scored, not learned from; a corpus of
@@ -285,32 +428,21 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     spark = docs.sparkSession
     bounded_batches(spark)
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("t"))
-    scorer, counts = learn(narrow.where("not held_out"), how, dictionary_words)
+    scorer, counts = learn(narrow.where("not held_out"), how, dictionary_words, vocabulary_count)
     shared = spark.sparkContext.broadcast(scorer)
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("word", pa.binary()), ("times", pa.int32()), ("mass", pa.float64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.ready()
-        masses, end = own.class_mass(), len(own.words)
+        masses = own.tree.rest_mass
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts, ids, out = utf8(batch, "t"), batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in chunks(texts, 4 << 20):
                 words = [words_of(t) for t in texts[a:b]]
-                sizes = np.array([len(w) + 1 for w in words])
-                starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-                place = np.full(int(sizes.sum()), end, dtype=np.int64)
-                for w, s in zip(words, starts.tolist(), strict=True):
-                    place[s : s + len(w)] = np.fromiter(map(own.places.__getitem__, w), dtype=np.int64, count=len(w))
-                rare = place < 0
-                safe = np.where(rare, 0, place)
-                symbol = np.where(rare, HEAD_WORDS - 1 - place, own.symbol[safe])
-                last = np.concatenate(([END], symbol[:-1]))
-                before = np.concatenate(([END, END], symbol[:-2]))[: len(symbol)]
-                before[starts], last[starts] = END, END
-                second = starts[sizes > 1] + 1
-                before[second] = END
-                score = own.table[before, last, symbol].astype(np.float64) + np.where(rare, 0.0, own.inside[safe])
+                flow = own.flow(words)
+                sizes, starts, rare, safe = flow.sizes, flow.starts, flow.rare, flow.safe
+                score = own.log_scores(flow)
                 base = np.where(rare, 0.0, own.base[safe])
                 known = np.where(rare, 0, own.known[safe])
                 sums = [np.add.reduceat(x, starts) for x in (known, base, score)]
