@@ -1,15 +1,15 @@
-"""Values of logical types, as column expressions; Arrow functions only where Spark has none."""
+"""Values of logical types, as column expressions."""
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DAY_MS = 86_400_000
+DAY_US = 86_400_000_000
 
 
 def date_from_millis(value: Column) -> Column:
@@ -37,43 +37,48 @@ def timestamp_from_nanos(value: Column) -> Column:
     return F.timestamp_micros(micros_from_nanos(value))
 
 
-def decimal_from_bytes(value: Column, precision: int = 38, scale: int = 0) -> Column:
-    """Decimal of big-endian two's-complement bytes.
-
-    Up to 18 digits the bytes are read as a hexadecimal number in the JVM; more digits need whole numbers of any
-    size, in an Arrow function that hands decimals over as they are.
-    """
-    kind = T.DecimalType(precision, scale)
-    if precision <= 18:
-        digits = F.hex(value)
-        filled = F.when(F.substring(digits, 1, 1) >= "8", F.lpad(digits, 16, "F")).otherwise(F.lpad(digits, 16, "0"))
-        whole = F.conv(filled, 16, -10).cast("decimal(19,0)")
-        return (whole * F.lit(Decimal(1).scaleb(-scale)).cast(T.DecimalType(scale + 1, scale))).cast(kind)
-
-    @F.pandas_udf(kind)
-    def read(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: None if b is None else Decimal(int.from_bytes(b, "big", signed=True)).scaleb(-scale, _WIDE))
-
-    return read(value)
-
+def _filled(value: Column, digits: int) -> Column:
+    """Hexadecimal digits of two's-complement bytes, filled by their sign to ``digits``."""
+    given = F.hex(value)
+    return F.when(F.substring(given, 1, 1) >= "8", F.lpad(given, digits, "F")).otherwise(F.lpad(given, digits, "0"))
 
-def text_from_variable_decimal(value: Column) -> Column:
-    """Plain text of a struct of scale and unscaled bytes."""
 
-    @F.pandas_udf("string")
-    def read(scale: pd.Series, raw: pd.Series) -> pd.Series:
-        return pd.Series([None if b is None or s is None else format(Decimal(int.from_bytes(b, "big", signed=True)).scaleb(-int(s), _WIDE), "f") for s, b in zip(scale, raw, strict=True)], dtype=object)
+def _whole(value: Column) -> Column:
+    """The whole number, as DECIMAL(38, 0), of big-endian two's-complement bytes; null beyond 38 digits.
 
-    return read(value["scale"], value["value"])
+    Longer values must be filled by their sign, else they are beyond. Sixteen bytes are read as a signed and an unsigned
+    half; decimals of 38 digits hold all of their sum.
+    """
+    long = F.length(value) > 16
+    head = F.hex(F.substring(value, F.lit(1), F.greatest(F.length(value) - 16, F.lit(0))))
+    text = _filled(F.when(long, F.substring(value, F.length(value) - 15, F.lit(16))).otherwise(value), 32)
+    negative = F.substring(text, 1, 1) >= "8"
+    spare = ~long | (F.rtrim(head, F.when(negative, "F").otherwise("0")) == "") & ((F.substring(F.hex(value), 1, 1) >= "8") == negative)
+    high = F.conv(F.substring(text, 1, 16), 16, -10).cast("decimal(19,0)")
+    low = F.conv(F.substring(text, 17, 16), 16, 10).cast("decimal(20,0)")
+    total = F.try_add(F.try_multiply(high, F.lit(Decimal(1 << 64)).cast("decimal(20,0)")).cast("decimal(38,0)"), low.cast("decimal(38,0)")).try_cast("decimal(38,0)")
+    return F.when(F.length(value) == 0, F.lit(0).cast("decimal(38,0)")).when(spare, total)
+
+
+def _shifted(whole: Column, scale: Column) -> Column:
+    """Plain text of whole / 10**scale, for scales of any sign."""
+    digits = F.abs(whole).cast("string")
+    filled = F.lpad(digits, F.greatest(F.length(digits), scale + 1), F.lit("0"))
+    cut = F.length(filled) - scale
+    fraction = F.concat(F.substring(filled, F.lit(1), cut), F.lit("."), F.substring(filled, cut + 1, scale))
+    plain = F.when(scale > 0, fraction).when((scale < 0) & (whole != 0), F.concat(digits, F.repeat(F.lit("0"), -scale))).otherwise(digits)
+    return F.when(whole < 0, F.concat(F.lit("-"), plain)).otherwise(plain)
 
 
-def _wide_context():
-    import decimal
+def decimal_from_bytes(value: Column, precision: int = 38, scale: int = 0) -> Column:
+    """Decimal of big-endian two's-complement bytes, read as hexadecimal numbers; null beyond the precision."""
+    return _shifted(_whole(value), F.lit(scale)).try_cast(T.DecimalType(precision, scale))
 
-    return decimal.Context(prec=200)
 
+def text_from_variable_decimal(value: Column) -> Column:
+    """Plain text of a struct of scale and unscaled bytes; null beyond 38 digits."""
+    return _shifted(_whole(value["value"]), value["scale"].cast("int"))
 
-_WIDE = _wide_context()
 
 #: Logical type name -> conversion of its raw value.
 CONVERSIONS = {
@@ -119,14 +124,26 @@ def convert_block(block: dict, value: Column) -> Column:
     return value.cast("int") if kind in ("int8", "int16", "int32") else value
 
 
+def micros_of(value: Column, kind: T.DataType) -> Column:
+    """Microseconds since 1970 of a timestamp; one without a zone counts as UTC, whatever the session's zone."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    second = (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("long")
+    minutes = F.hour(value).cast("long") * 60 + F.minute(value)
+    return F.unix_date(value.cast("date")).cast("long") * DAY_US + minutes * 60_000_000 + second
+
+
 def iso_from_micros(value: Column) -> Column:
-    """UTC text of microseconds since 1970; the session's zone must be UTC."""
-    return F.date_format(F.timestamp_micros(value), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """UTC text of microseconds since 1970, whatever the session's zone."""
+    rest = F.pmod(value, F.lit(DAY_US))
+    day = F.date_from_unix_date(F.round((value - rest) / DAY_US).cast("int")).cast("string")
+    part = lambda unit, most: F.floor(rest / unit) % most
+    return F.format_string("%sT%02d:%02d:%02d.%06dZ", day, part(3_600_000_000, 24), part(60_000_000, 60), part(1_000_000, 60), rest % 1_000_000)
 
 
 def micros_from_iso(text: Column) -> Column:
-    """Microseconds of an ISO timestamp; null where it cannot be read."""
-    return F.unix_micros(F.try_to_timestamp(text))
+    """Microseconds of an ISO timestamp with its zone; null where it cannot be read."""
+    return F.unix_micros(text.try_cast("timestamp"))
 
 
 def days_from_iso(text: Column) -> Column:

@@ -115,6 +115,8 @@ ROW = _struct(
     protocol=_struct(minReaderVersion=T.IntegerType(), minWriterVersion=T.IntegerType(), readerFeatures=_NAMES_LIST, writerFeatures=_NAMES_LIST),
     txn=_struct(appId=T.StringType(), version=T.LongType(), lastUpdated=T.LongType()),
 )
+#: What a line of a commit may hold besides.
+INFO = _struct(timestamp=T.LongType(), operation=T.StringType(), operationParameters=_TEXTS, engineInfo=T.StringType(), isBlindAppend=T.BooleanType())
 
 
 def to_row(action: Action) -> dict:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cdc import DELETE, INSERT, UPDATE, flat_operation, operation, payload
+from ..functions.logical import convert_block
+from ..schema import from_record_schema, payload_schema, raw_schema
 
 META = ("topic", "partition", "offset")
 CORRUPT = "_corrupt"
@@ -21,8 +23,11 @@ CORRUPT = "_corrupt"
 
 @dataclass(frozen=True)
 class Converted:
+    """Rows and rejects, and the table of judged records that both are read from: persist it to convert once."""
+
     rows: DataFrame
     rejects: DataFrame
+    judged: DataFrame
 
 
 class RecordConverter(Protocol):
@@ -33,6 +38,15 @@ class RecordConverter(Protocol):
     def row_schema(self) -> T.StructType: ...
 
 
+def arrival(records: DataFrame) -> Column:
+    """The order of records: by offset, then topic and partition, so that equal offsets of two partitions have an order
+    that reruns keep. A column _seq goes before."""
+    own = set(records.columns)
+    if "_seq" in own:
+        return F.col("_seq")
+    return F.struct(*[F.col(c) if c in own else F.lit(None).cast("string" if c == "topic" else "long").alias(c) for c in ("offset", "topic", "partition")])
+
+
 def _meta(records: DataFrame) -> list[Column]:
     own = set(records.columns)
     return [F.col(c) if c in own else F.lit(None).cast("string" if c == "topic" else "long").alias(c) for c in META]
@@ -41,7 +55,7 @@ def _meta(records: DataFrame) -> list[Column]:
 def parse(records: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """``records`` with ``value`` read from JSON where it is text; text that is no JSON object sets CORRUPT."""
     if not isinstance(records.schema[value].dataType, (T.StringType, T.BinaryType)):
-        return records.withColumn(CORRUPT, F.lit(None).cast("string"))
+        return records if CORRUPT in records.columns else records.withColumn(CORRUPT, F.lit(None).cast("string"))
     text = F.col(value).cast("string")
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     wide = T.StructType([T.StructField(f.name, f.dataType, True) for f in wide.fields])
@@ -53,11 +67,12 @@ def parse(records: DataFrame, schema: T.StructType, value: str = "value") -> Dat
 
 
 def _split(table: DataFrame, error: Column, keep: Column, row: Column, schema: T.StructType) -> Converted:
-    judged = table.withColumn("__error", error)
-    good = judged.where(F.col("__error").isNull() & keep)
-    rows = good.select(*[row[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], F.col("_op"), F.col("_seq"), *META)
+    """``row`` and the verdict of each record are settled in one projection; rows and rejects only choose from it."""
+    judged = table.select(*META, CORRUPT, "_op", "_seq", row.alias("__row"), error.alias("__error"), F.coalesce(keep, F.lit(False)).alias("__keep"))
+    good = judged.where(F.col("__error").isNull() & F.col("__keep"))
+    rows = good.select(*[F.col("__row")[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], F.col("_op"), F.col("_seq"), *META)
     rejects = judged.where(F.col("__error").isNotNull()).select(*META, F.col("__error").alias("error"), F.col(CORRUPT).alias("value"))
-    return Converted(rows, rejects)
+    return Converted(rows, rejects, judged)
 
 
 @dataclass(frozen=True)
@@ -75,7 +90,7 @@ class EnvelopeConverter:
         return T.StructType([T.StructField("before", self.payload_schema), T.StructField("after", self.payload_schema), T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType())])
 
     def convert(self, records: DataFrame) -> Converted:
-        seq = F.col("_seq") if "_seq" in records.columns else F.col("offset")
+        seq = arrival(records)
         read = parse(records, self.value_schema())
         table = read.select(*_meta(read), "value", CORRUPT, seq.alias("_seq"), operation(F.col("value.op")).alias("_op"))
         row = payload(F.col("_op"), F.col("value.before"), F.col("value.after"))
@@ -100,7 +115,7 @@ class FlattenedConverter:
         return T.StructType([f for f in self.value_schema.fields if not f.name.startswith("__")])
 
     def convert(self, records: DataFrame) -> Converted:
-        seq = F.col("_seq") if "_seq" in records.columns else F.col("offset")
+        seq = arrival(records)
         read = parse(records, self.value_schema)
         names = set(self.value_schema.names)
         nothing = F.lit(None).cast("string")
@@ -122,11 +137,48 @@ class PlainConverter:
         return self.schema
 
     def convert(self, records: DataFrame) -> Converted:
-        seq = F.col("_seq") if "_seq" in records.columns else F.col("offset") if "offset" in records.columns else F.lit(0)
+        seq = arrival(records)
         read = parse(records, self.schema)
         table = read.select(*_meta(read), "value", CORRUPT, seq.alias("_seq"), F.lit(INSERT).alias("_op"))
         error = F.when(F.col(CORRUPT).isNotNull(), F.lit("unreadable value"))
         return _split(table, error, F.col("value").isNotNull(), F.col("value"), self.schema)
 
 
-__all__ = ["DELETE", "INSERT", "UPDATE", "Converted", "EnvelopeConverter", "FlattenedConverter", "PlainConverter", "RecordConverter", "parse"]
+@dataclass(frozen=True)
+class BlockConverter:
+    """A converter by a record's JSON schema block: raw values are parsed by it and converted to their logical types.
+
+    ``mode`` and ``envelope`` are the settings write.mode and cdc.envelope.format.
+    """
+
+    block: dict
+    mode: str = "cdc"
+    envelope: str = "debezium_full"
+    delete_enabled: bool = True
+
+    def row_schema(self) -> T.StructType:
+        whole = from_record_schema(self.block)
+        return payload_schema(whole, self.envelope) if self.mode == "cdc" else T.StructType(whole.fields)
+
+    def convert(self, records: DataFrame) -> Converted:
+        raw = raw_schema(self.block)
+        typed = parse(records, raw)
+        whole = from_record_schema(self.block)
+        values = F.when(F.col("value").isNotNull(), convert_block(self.block, F.col("value"))).cast(whole)
+        typed = typed.withColumn("value", values)
+        return converter(whole, self.mode, self.envelope, self.delete_enabled).convert(typed)
+
+
+def converter(value: T.StructType | dict, mode: str = "cdc", envelope: str = "debezium_full", delete_enabled: bool = True) -> RecordConverter:
+    """The converter that the settings ask for. ``value`` is the schema of the records' values, whole: a Spark type or a
+    record's JSON schema block."""
+    if isinstance(value, dict):
+        return BlockConverter(value, mode, envelope, delete_enabled)
+    if mode != "cdc":
+        return PlainConverter(value)
+    if envelope == "debezium_full":
+        return EnvelopeConverter(payload_schema(value, envelope), delete_enabled)
+    return FlattenedConverter(value, delete_enabled)
+
+
+__all__ = ["BlockConverter", "arrival", "converter", "DELETE", "INSERT", "UPDATE", "Converted", "EnvelopeConverter", "FlattenedConverter", "PlainConverter", "RecordConverter", "parse"]

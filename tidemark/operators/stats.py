@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.logical import iso_from_micros, micros_of
+
 #: Leaf columns that have statistics, and characters of a text bound.
 MAX_COLUMNS = 32
 MAX_CHARS = 32
@@ -59,7 +61,7 @@ def _bound(value: Column, kind: T.DataType, greatest: bool) -> Column:
     if isinstance(kind, T.DateType):
         return value.cast("string")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        return iso_from_micros(micros_of(value, kind))
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return F.when(~F.isnan(value), value)  # JSON has no NaN, and a bound that is one says nothing
     return value

@@ -147,6 +147,20 @@ def from_record_schema(block: dict) -> T.DataType:
     return _PRIMITIVES[kind]
 
 
+def raw_schema(block: dict) -> T.DataType:
+    """The Spark type of a record's values as JSON spells them, before logical types are converted."""
+    kind = block["type"]
+    if kind == "struct":
+        return T.StructType([T.StructField(f["field"], raw_schema(f)) for f in block.get("fields", ())])
+    if kind == "array":
+        return T.ArrayType(raw_schema(block["items"]))
+    if kind == "map":
+        return T.MapType(T.StringType(), raw_schema(block["values"]))
+    if kind not in _PRIMITIVES:
+        raise ValueError(f"unsupported type '{kind}'")
+    return _PRIMITIVES[kind]
+
+
 def payload_schema(value: T.DataType, envelope: str = "debezium_full") -> T.StructType:
     """The row schema of a record: an envelope's 'after', else 'before'; a flat record without its __ columns."""
     if not isinstance(value, T.StructType):

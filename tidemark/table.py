@@ -6,7 +6,8 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from .log.store import LogStore, store_for
 from .log.txn import Transaction
 from .operators import merge as merging
 from .operators.dedup import last_writer
-from .operators.prune import Bounds, prune
+from .operators.prune import bounds_of, may_match
 from .operators.stats import file_stats
 from .sources.parquet import scan
 
@@ -40,6 +41,7 @@ class MergeResult:
     files_created: int = 0
     files_skipped: int = 0
     actions: tuple[Action, ...] = ()
+    version: int = -1
 
 
 class Table:
@@ -48,6 +50,7 @@ class Table:
     def __init__(self, spark: SparkSession, path: str, store: LogStore | None = None, clock: Callable[[], float] = time.time, interval: int = 10) -> None:
         self.spark, self.path, self.clock, self.interval = spark, path.rstrip("/"), clock, interval
         self.store = store or store_for(spark, path)
+        self.schema_text: str | None = None  # as of the last write
 
     # -- reading
 
@@ -63,7 +66,7 @@ class Table:
         if at.schema is None:
             return self.spark.createDataFrame([], T.StructType([]))
         schema = at.schema if columns is None else T.StructType([at.schema[c] for c in columns])
-        return scan(self.spark, [self.absolute(p) for p in at.files], schema)
+        return scan(self.spark, [self.absolute(p) for p in at.sizes(self.spark)], schema)
 
     # -- transactions
 
@@ -77,7 +80,7 @@ class Table:
         """A new table at version 0, or an existing one with a new schema and no files at its next version."""
         at = self.snapshot()
         txn = self.start(at).add(Protocol(), Metadata(str(uuid.uuid4()), schemas.to_json(schema), name, partitionColumns=list(partition_columns), configuration=configuration or {}, createdTime=self._now()))
-        txn.add(*[RemoveFile(p, self._now(), True, size=a.size) for p, a in at.files.items()])
+        txn.add(*[RemoveFile(p, self._now(), True, size=size) for p, size in at.sizes(self.spark).items()])
         return txn.commit("CREATE TABLE" if at.version < 0 else "REPLACE TABLE")
 
     def evolve(self, at: snapshots.Snapshot, incoming: T.StructType, enabled: bool = True) -> Metadata | None:
@@ -95,36 +98,40 @@ class Table:
     def write_files(self, df: DataFrame) -> tuple[list[AddFile], int]:
         """Write rows to new data files with statistics: (add actions, rows). A failure leaves nothing behind.
 
-        Files are written by the executors to a staging folder and moved under names of their own.
+        The executors write into a folder of this write's own, where the files stay: nothing is moved. Statistics read
+        the leaf columns that have them, and no others, in one aggregation by file.
         """
-        draft = f"{self.path}/_staging/{uuid.uuid4().hex}"
+        folder = f"data-{uuid.uuid4().hex}"
+        place = f"{self.path}/{folder}"
         try:
-            df.write.option("compression", "snappy").option("parquet.block.size", ROW_GROUP_BYTES).parquet(draft)
-            files = [(n, size) for n, size in self.store.list_files(draft) if n.endswith(".parquet")]
+            df.write.option("compression", "snappy").option("parquet.block.size", ROW_GROUP_BYTES).parquet(place)
+            files = [(n, size) for n, size in self.store.list_files(place) if n.endswith(".parquet")]
             found = {}
             if files:
-                written = scan(self.spark, [f"{draft}/{n}" for n, _ in files], df.schema)
+                written = scan(self.spark, [f"{place}/{n}" for n, _ in files], df.schema)
                 found = {r["file"]: r for r in file_stats(written, [F.col("_metadata.file_name").alias("file")]).collect()}
-            adds, rows = [], 0
-            for name, size in files:
-                if name not in found:  # a file without rows
-                    continue
-                own = f"part-{uuid.uuid4().hex}.snappy.parquet"
-                self.store.move(f"{draft}/{name}", f"{self.path}/{own}")
-                adds.append(AddFile(own, {}, size, self._now(), True, found[name]["stats"]))
-                rows += found[name]["num_records"]
-            return adds, rows
-        finally:
-            self.store.delete(draft)
-
-    def append(self, df: DataFrame, extra: Sequence[Action] = (), evolution: bool = True) -> int:
-        """Append rows, growing the schema if allowed; ``extra`` actions go into the same commit."""
+        except BaseException:
+            self.store.delete(place)
+            raise
+        if not found:
+            self.store.delete(place)
+        # A file without rows has no statistics and is left out.
+        adds = [AddFile(f"{folder}/{n}", {}, size, self._now(), True, found[n]["stats"]) for n, size in files if n in found]
+        return adds, sum(r["num_records"] for r in found.values())
+
+    def _settled(self, incoming: T.StructType, evolution: bool) -> tuple[snapshots.Snapshot, Metadata | None, T.StructType]:
+        """The snapshot to write on, after a table that is missing was made; new metadata if the schema grows; the schema."""
         at = self.snapshot()
         if at.metadata is None:
-            self.create_or_replace(_nullable(df.schema))
+            self.create_or_replace(incoming)
             at = self.snapshot()
-        grown = self.evolve(at, _nullable(df.schema), evolution)
-        schema = schemas.from_json(grown.schemaString) if grown else at.schema
+        grown = self.evolve(at, incoming, evolution)
+        self.schema_text = (grown or at.metadata).schemaString
+        return at, grown, schemas.from_json(self.schema_text)
+
+    def append(self, df: DataFrame, extra: Sequence[Action] = (), evolution: bool = True) -> int:
+        """Append rows, growing the schema if allowed; ``extra`` actions go into the same commit."""
+        at, grown, schema = self._settled(_nullable(df.schema), evolution)
         adds, _ = self.write_files(schemas.project(df, schema))
         txn = self.start(at).add(*([grown] if grown else []), *adds, *extra)
         return txn.commit("WRITE", {"mode": "Append"}) if txn.actions else at.version
@@ -134,60 +141,65 @@ class Table:
     def plan_merge(self, source: DataFrame, keys: Sequence[str], at: snapshots.Snapshot, schema: T.StructType | None = None) -> MergeResult:
         """Merge ``source`` (columns, _op, _seq) into the files of a snapshot, without committing.
 
-        The last writer of each key counts. Statistics skip files, a semi join finds those with matches, and only these
-        are rewritten; the rest of the source is inserted.
+        The last writer of each key counts. Statistics skip files, one join on the keys finds the matches in the others,
+        and only files with a match are rewritten; the rest of the source is inserted.
         """
         schema = schema or at.schema
-        merging.check_keys(schema.names, keys)
+        merging.check_keys(schema, keys)
         src = last_writer(source, keys, ["_seq"]).drop("_seq")
-        src = src.select(*[(F.col(f"`{f.name}`") if f.name in src.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields], merging.OP).persist(StorageLevel.MEMORY_AND_DISK)
+        src = schemas.project(src, T.StructType([*schema.fields, T.StructField(merging.OP, T.StringType())])).persist(StorageLevel.MEMORY_AND_DISK)
+        found = None
         try:
-            edge = merging.key_bounds(src, keys).withColumn("n", F.lit(1)).first()
-            counted = src.count()
+            counted, bounds = bounds_of(src, keys)
             if not counted:
                 return MergeResult()
-            bounds = {k: Bounds(edge[f"min_{k}"], edge[f"max_{k}"], edge[f"nulls_{k}"] > 0) for k in keys}
-            kinds = {k: schema[k].dataType for k in keys}
-            candidates = [r["path"] for r in prune(at.file_table(self.spark), bounds, kinds).select("path").collect()] if at.files else []
-            skipped = len(at.files) - len(candidates)
-            target = scan(self.spark, [self.absolute(p) for p in candidates], schema)
+            total, candidates = self._candidates(at, bounds, schema)
             adds: list[AddFile] = []
             removes: list[RemoveFile] = []
             copied = updated = deleted = 0
+            fresh = src.where(F.col(merging.OP) != DELETE).drop(merging.OP)
             if candidates:
-                named = target.withColumn("__file", F.col("_metadata.file_name"))
-                hit = {r["__file"] for r in merging.touched(named, src, keys, "__file").collect()}
-                rewritten = [p for p in candidates if p.rsplit("/", 1)[-1] in hit]
+                # One pass over the keys of the files that may match tells which do, what happens to their rows, and
+                # which source keys are left to insert; only files with a match are read whole.
+                named = scan(self.spark, [self.absolute(p) for p in candidates], schema).withColumn("__file", F.col("_metadata.file_path"))
+                found = merging.matches(named, src, keys, "__file").persist(StorageLevel.MEMORY_AND_DISK)
+                tally = found.groupBy("__file").agg(F.count_if(F.col(merging.OP) != DELETE).alias("updated"), F.count_if(F.col(merging.OP) == DELETE).alias("deleted")).collect()
+                hit = {_tail(unquote(r["__file"])) for r in tally}
+                updated, deleted = (sum(r[c] for r in tally) for c in ("updated", "deleted"))
+                rewritten = [p for p in candidates if _tail(self.absolute(p)) in hit]
                 if rewritten:
-                    old = scan(self.spark, [self.absolute(p) for p in rewritten], schema)
-                    tally = merging.counters(old, src, keys).first()
-                    copied, updated, deleted = tally["copied"], tally["updated"], tally["deleted"]
-                    new, _ = self.write_files(merging.rewrite(old, src, keys))
+                    new, kept = self.write_files(merging.rewrite(scan(self.spark, [self.absolute(p) for p in rewritten], schema), src, keys))
+                    copied = kept - updated
                     adds += new
-                    removes = [RemoveFile(p, self._now(), True, size=at.files[p].size) for p in rewritten]
-                fresh = merging.inserts(target, src, keys, schema.names)
-            else:
-                fresh = src.where(F.col(merging.OP) != DELETE).drop(merging.OP)
+                    removes = [RemoveFile(p, self._now(), True, size=candidates[p]) for p in rewritten]
+                fresh = merging.unmatched(src, found, keys, schema.names)
             more, inserted = self.write_files(fresh)
             adds += more
-            return MergeResult(inserted, updated, deleted, copied, len(removes), len(adds), skipped, (*removes, *adds))
+            return MergeResult(inserted, updated, deleted, copied, len(removes), len(adds), total - len(candidates), (*removes, *adds))
         finally:
             src.unpersist()
+            if found is not None:
+                found.unpersist()
+
+    def _candidates(self, at: snapshots.Snapshot, bounds: dict, schema: T.StructType) -> tuple[int, dict[str, int]]:
+        """(active files, path and bytes of those that statistics do not skip); the statistics stay in Spark."""
+        keep = may_match(F.col("stats"), bounds, schema)
+        row = at.file_table(self.spark).agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.when(keep, F.struct("path", "size"))).alias("kept")).first()
+        return row["n"], {r["path"]: r["size"] for r in row["kept"]}
 
     def merge(self, source: DataFrame, keys: Sequence[str], extra: Sequence[Action] = (), evolution: bool = True) -> MergeResult:
         """MERGE and commit; ``extra`` actions go into the same commit."""
-        at = self.snapshot()
         incoming = _nullable(T.StructType([f for f in source.schema.fields if f.name not in (merging.OP, "_seq")]))
-        if at.metadata is None:
-            self.create_or_replace(incoming)
-            at = self.snapshot()
-        grown = self.evolve(at, incoming, evolution)
-        schema = schemas.from_json(grown.schemaString) if grown else at.schema
+        at, grown, schema = self._settled(incoming, evolution)
         result = self.plan_merge(source, keys, at, schema)
         txn = self.start(at).add(*([grown] if grown else []), *result.actions, *extra)
-        if txn.actions:
-            txn.commit("MERGE", {"matchedPredicates": json.dumps(list(keys))})
-        return result
+        version = txn.commit("MERGE", {"matchedPredicates": json.dumps(list(keys))}) if txn.actions else at.version
+        return replace(result, version=version)
+
+
+def _tail(path: str) -> tuple[str, ...]:
+    """Folder and name of a file, which tell the files of a table apart however its root is spelt."""
+    return tuple(path.rsplit("/", 2)[-2:])
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
