@@ -1,34 +1,32 @@
 """Scoring with a log-bilinear language model trained by noise-contrastive estimation.
 
-The model (Mnih and Hinton, 2007; Mnih and Teh, 2012) predicts a symbol from the two before it: the predicted vector
-is the sum of the context's vectors, each scaled by weights of its place, and a symbol's score is its dot product
-with the symbol's vector plus a bias. The 99 most frequent words are symbols of their own; other words share 28
-symbols by their last letter; the end of a text is a symbol. A word's probability is its symbol's, normalised by
-one matrix product over all symbols. Every word of VOCABULARY_COUNT training tokens or more has vectors of its own, as
-context and as target, under its class (``lmwords``); the other words have their smoothed share of what their class
-leaves them. All words, unseen ones included, sum to one.
-
-What is learned from the corpus: counts of all words, and counts of all triples of symbols, of all training
-documents, both added up in a distributed way. The symbol model is trained on those counts and the words' vectors on
-all training texts, task by task, so every training token has its say. Frequent words' counts are broadcast; the
-others' are joined.
+The model (Mnih and Hinton, 2007; Mnih and Teh, 2012) predicts in two steps. First a symbol from the two before it: the
+predicted vector is the sum of the context's vectors, each scaled by weights of its place, and a symbol's score is its
+dot product with the symbol's vector plus a bias. The 99 most frequent words are symbols of their own; other words share
+28 symbols by their last letter; the end of a text is a symbol. Then, for the most frequent VOCABULARY_WORDS words, the
+word in its class: these words have vectors of their own, as contexts and as targets (``lmwords``). Other words have their
+smoothed share of their class. Both steps are normalised by batched matrix products, and all words, unseen ones included,
+sum to one.
+
+What is learned from the corpus: counts of all words, and counts of all triples of symbols, of all training documents,
+both added up in a distributed way. The symbol model is trained on those counts and the words' vectors on all training
+texts, task by task, so every training token has its say. Frequent words' counts are broadcast; the others' are joined.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from copy import copy
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks, crc_text, cut, record_batch, utf8, words_of
-from .lmwords import BLOCK, LEAST_TOKENS, MOST_PASSES, Trainer, Words
+from .common import bounded_batches, crc_text, cut, record_batch
+from .lmwords import LEAST_TOKENS, MOST_PASSES, Trainer, Words
 
 #: Fixed by the task: smoothing of the unigram base, and the share of documents held out.
 SMOOTH = 0.1
@@ -38,16 +36,20 @@ HEAD_WORDS = 99
 CLASSES = 28
 END = HEAD_WORDS + CLASSES
 SYMBOLS = END + 1
-#: What stands before a text's first symbol; no tokens themselves.
-START, NO_TOKENS = np.array([END, END], dtype=np.int32), np.zeros(2, dtype=bool)
-#: Words of so many training tokens have vectors of their own, however many such words there are.
-VOCABULARY_COUNT = 100
-#: At most so many words' counts are broadcast to the workers, besides those of words with vectors.
+#: Words with vectors of their own: the most frequent of at least LEAST_COUNT training tokens. The rest of a class shares
+#: its symbol, so no word is without a probability.
+VOCABULARY_WORDS = 16_384
+LEAST_COUNT = 50
+#: At most so many words' counts are broadcast to the workers, of at most so many bytes each; the others' are joined.
 DICTIONARY_WORDS = 300_000
-#: Distinct words that a worker counts before it passes the counts on.
-COUNTER_WORDS = 400_000
+WORD_BYTES = 64
+#: Distinct words that a worker gathers before it passes their counts on.
+COUNTER_WORDS = 1_000_000
+#: Text (bytes) that is worked on at once, and in a step of training.
+CHUNK_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 #: ASCII marks that are taken off a word's end before its class is found.
-MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
@@ -61,28 +63,53 @@ class Training:
     seed: int = 7
 
 
-def suffix_class(word: bytes) -> int:
-    """0 to 25 by the last letter under trailing marks, 26 for letters outside ASCII, 27 for anything else."""
-    bare = word.rstrip(MARKS)
-    last = bare[-1] if bare else 0
-    return last - 97 if 97 <= last <= 122 else 26 if last >= 128 else 27
+def suffix_classes(words: pa.Array) -> np.ndarray:
+    """Of each word 0 to 25 by the last letter under trailing marks, 26 for letters outside ASCII, 27 for anything else."""
+    bare = pc.ascii_rtrim(words, characters=MARKS)
+    if not len(bare):
+        return np.empty(0, dtype=np.int32)
+    _, offsets, data = bare.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[bare.offset : bare.offset + len(bare) + 1]
+    last = np.zeros(len(bare), dtype=np.int32)
+    full = ends[1:] > ends[:-1]
+    if full.any():
+        last[full] = np.frombuffer(data, dtype=np.uint8)[ends[1:][full] - 1]
+    return np.where((last >= 97) & (last <= 122), last - 97, np.where(last >= 128, 26, 27)).astype(np.int32)
 
 
-class Symbols(dict):
-    """word -> symbol; words outside the head get their class's. Remembers a bounded number of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        symbol = HEAD_WORDS + suffix_class(word)
-        if len(self) < COUNTER_WORDS:
-            self[word] = symbol
-        return symbol
-
-
-class Places(dict):
-    """word -> place in the dictionary; -1 - class for words outside it."""
+@dataclass
+class Tokens:
+    """The words of some texts: number of words of each text, the distinct words, and each word's place among them."""
 
-    def __missing__(self, word: bytes) -> int:
-        return -1 - suffix_class(word)
+    sizes: np.ndarray
+    distinct: pa.Array
+    place: np.ndarray
+
+
+def tokens_of(texts: pa.Array) -> Tokens:
+    """Words of texts with A-Z lowered; a null text has none. Arrow's ASCII functions know the rule's white space."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, sizes = pc.list_flatten(lists), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    full = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    if not full.all():  # white space at a text's ends leaves empty strings
+        before = np.concatenate(([0], np.cumsum(full)))
+        ends = np.cumsum(sizes)
+        sizes = before[ends] - before[ends - sizes]
+        words = words.filter(pa.array(full))
+    coded = words.dictionary_encode()
+    return Tokens(sizes, coded.dictionary, coded.indices.to_numpy().astype(np.int64))
+
+
+def text_chunks(batch: pa.RecordBatch, name: str, limit: int) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of parts of a batch with about ``limit`` bytes each; a longer text is a part of its own."""
+    column = batch.column(batch.schema.get_field_index(name))
+    column = column if pa.types.is_string(column.type) else column.cast(pa.string())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + limit, side="right")))
+        yield start, column.slice(start, stop - start)
+        start = stop
 
 
 def held_out(key: Column) -> Column:
@@ -91,63 +118,99 @@ def held_out(key: Column) -> Column:
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word, class, n) over all texts; a task passes on at most one row for each of its distinct words at a time."""
-    schema = pa.schema([("word", pa.binary()), ("class", pa.int32()), ("n", pa.int64())])
+    """(word, class, n) over all texts; a task adds up what it has gathered before it passes a bounded table on."""
+    schema = pa.schema([("word", pa.string()), ("class", pa.int32()), ("n", pa.int64())])
 
-    def emit(counter: Counter) -> Iterator[pa.RecordBatch]:
-        words = list(counter)
-        for i in range(0, len(words), 50_000):
-            part = words[i : i + 50_000]
-            yield record_batch(schema, [part, [suffix_class(w) for w in part], [counter[w] for w in part]])
+    def emit(parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        if parts:
+            added = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).combine_chunks()
+            for batch in added.to_batches(max_chunksize=50_000):
+                words = batch.column(batch.schema.get_field_index("word"))
+                yield record_batch(schema, [words, pa.array(suffix_classes(words)), batch.column(batch.schema.get_field_index("n_sum"))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter: Counter = Counter()
+        parts, gathered = [], 0
         for batch in batches:
-            for text in utf8(batch, "t"):
-                counter.update(words_of(text))
-                if len(counter) > COUNTER_WORDS:
-                    yield from emit(counter)
-                    counter.clear()
-        yield from emit(counter)
-
-    return texts.select("t").mapInArrow(scan, "word binary, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n"))
-
-
-def frequent_words(counts: DataFrame, most: int = DICTIONARY_WORDS, all_from: int = VOCABULARY_COUNT) -> list[tuple[bytes, int, int]]:
-    """The words above a count that at most ``most`` words reach, and all of ``all_from`` tokens, by falling count and
-    then by word."""
+            for _, part in text_chunks(batch, "t", CHUNK_BYTES):
+                own = tokens_of(part)
+                n = np.bincount(own.place, minlength=len(own.distinct)).astype(np.int64)
+                parts.append(pa.table({"word": own.distinct, "n": n}))
+                gathered += len(n)
+                if gathered > COUNTER_WORDS:
+                    yield from emit(parts)
+                    parts, gathered = [], 0
+        yield from emit(parts)
+
+    return texts.select("t").mapInArrow(scan, "word string, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n"))
+
+
+def frequent_words(counts: DataFrame, most: int = DICTIONARY_WORDS) -> tuple[pa.Array, np.ndarray]:
+    """(words, counts) of at most about ``most`` words above a count, by falling count and then by word; longer words
+    than WORD_BYTES are left to the join."""
+    short = counts.where(F.octet_length("word") <= WORD_BYTES)
     level = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
-    levels = sorted(counts.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True)  # some hundred rows
+    levels = sorted(short.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True)  # some hundred rows
     total, lowest = 0, None
     for row in levels:
         if total + row["k"] > most:
             break
         total, lowest = total + row["k"], row["l"]
-    if lowest is None:
-        top = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).unionByName(counts.where(F.col("n") >= all_from)).distinct()
-    else:
-        top = counts.where((level >= lowest) | (F.col("n") >= all_from))
-    table = top.select("word", "class", "n").toArrow()
-    rows = zip(table.column(0).to_pylist(), table.column(1).to_pylist(), table.column(2).to_pylist(), strict=True)
-    return sorted(rows, key=lambda r: (-r[2], r[0]))
+    top = short.orderBy(F.desc("n"), "word").limit(HEAD_WORDS) if lowest is None or total < HEAD_WORDS else short.where(level >= lowest)
+    table = top.select("word", "n").toArrow().combine_chunks()
+    order = pc.sort_indices(table, sort_keys=[("n", "descending"), ("word", "ascending")])
+    table = table.take(order).combine_chunks()
+    words = table.column(0).combine_chunks() if len(table) else pa.array([], pa.string())
+    return words, table.column(1).to_numpy().astype(np.int64)
+
+
+@dataclass
+class Flow:
+    """Tokens of some texts, the ends included: of each its place among the chunk's distinct words (the end's is one
+    more), its symbol, and the symbols of the two tokens before it; starts and sizes of the texts."""
+
+    starts: np.ndarray
+    sizes: np.ndarray
+    place: np.ndarray
+    symbol: np.ndarray
+    before: np.ndarray
+    last: np.ndarray
+
+
+def flow_of(own: Tokens, symbols: np.ndarray) -> Flow:
+    """``symbols``: of the distinct words, and at the end of the end."""
+    sizes = own.sizes + 1
+    ends = np.cumsum(sizes) - 1
+    place = np.full(int(sizes.sum()), len(own.distinct), dtype=np.int64)
+    inner = np.ones(len(place), dtype=bool)
+    inner[ends] = False
+    place[inner] = own.place
+    symbol = symbols[place]
+    starts = ends - sizes + 1
+    # Before a text stands the end, as it does at the end of the text before; only the second symbol back is mended.
+    last = np.concatenate(([END], symbol[:-1])).astype(np.int32)
+    before = np.concatenate(([END], last[:-1])).astype(np.int32)
+    before[starts] = END
+    return Flow(starts, sizes, place, symbol, before, last)
 
 
-def count_triples(texts: DataFrame, head: dict[bytes, int]) -> np.ndarray:
+def symbols_in(words: pa.Array, head: pa.Array) -> np.ndarray:
+    """Symbols of distinct words, and at the end that of the end."""
+    place = pc.index_in(words, value_set=head).fill_null(-1).to_numpy()
+    return np.append(np.where(place >= 0, place, HEAD_WORDS + suffix_classes(words)), END).astype(np.int32)
+
+
+def count_triples(texts: DataFrame, head: pa.Array) -> np.ndarray:
     """How often symbol s follows symbols a, b, over all texts: an array of SYMBOLS**3 counts, summed over all tasks."""
     schema = pa.schema([("code", pa.int32()), ("n", pa.int64())])
-    shared = texts.sparkSession.sparkContext.broadcast(head)
+    spoken = head.to_pylist()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, total = Symbols(shared.value), np.zeros(SYMBOLS**3, dtype=np.int64)
+        own, total = pa.array(spoken, pa.string()), np.zeros(SYMBOLS**3, dtype=np.int64)
         for batch in batches:
-            texts = utf8(batch, "t")
-            for a, b in chunks(texts, 4 << 20):
-                flows = [symbol_flow(t, symbols) for t in texts[a:b]]
-                flow = np.concatenate([x for own in flows for x in (START, own)])
-                is_token = np.concatenate([x for own in flows for x in (NO_TOKENS, np.ones(len(own), dtype=bool))])
-                codes = (flow[:-2] * SYMBOLS + flow[1:-1]) * SYMBOLS + flow[2:]
-                codes, n = np.unique(codes[is_token[2:]], return_counts=True)
-                total[codes] += n
+            for _, part in text_chunks(batch, "t", CHUNK_BYTES):
+                words = tokens_of(part)
+                flow = flow_of(words, symbols_in(words.distinct, own))
+                total += np.bincount((flow.before * SYMBOLS + flow.last) * SYMBOLS + flow.symbol, minlength=len(total))
         found = np.flatnonzero(total)
         yield record_batch(schema, [pa.array(found.astype(np.int32)), pa.array(total[found])])
 
@@ -157,15 +220,6 @@ def count_triples(texts: DataFrame, head: dict[bytes, int]) -> np.ndarray:
     return out.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
 
 
-def symbol_flow(text: bytes | None, symbols: dict[bytes, int]) -> np.ndarray:
-    """The symbols of a text, with the end."""
-    words = words_of(text)
-    flow = np.empty(len(words) + 1, dtype=np.int32)
-    flow[:-1] = np.fromiter(map(symbols.__getitem__, words), dtype=np.int32, count=len(words))
-    flow[-1] = END
-    return flow
-
-
 def train(triples: np.ndarray, how: Training | None = None) -> dict[str, np.ndarray]:
     """Fit the model to counts of (before last, last, next) by noise-contrastive estimation.
 
@@ -228,28 +282,11 @@ def log_table(model: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
-@dataclass
-class Flow:
-    """Tokens of some texts: sizes and starts of the texts; of each token its place, whether it is outside the
-    dictionary, its symbol, the leaf to predict, and the symbols and leaves of the two words before it."""
-
-    sizes: np.ndarray
-    starts: np.ndarray
-    safe: np.ndarray
-    rare: np.ndarray
-    symbol: np.ndarray
-    target: np.ndarray
-    before: np.ndarray
-    last: np.ndarray
-    leaf_before: np.ndarray
-    leaf_last: np.ndarray
-
-
 @dataclass
 class Scorer:
     """All that a worker needs: the dictionary, its counts, the sizes of the classes and the model."""
 
-    words: list[bytes]
+    words: pa.Array
     counts: np.ndarray
     tokens: int
     distinct: int
@@ -259,86 +296,69 @@ class Scorer:
     model: dict[str, np.ndarray]
     tree: Words | None = None
 
+    def __getstate__(self) -> dict:
+        """Tables for lookups are built in each worker and don't travel."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("table", "near", "far", "symbol", "leaf", "base", "inside")}
+
     def ready(self) -> Scorer:
-        """Tables for lookups, built once in each worker."""
-        if not hasattr(self, "places"):
-            self.places = Places(zip(self.words, range(len(self.words)), strict=True))
-            symbol = np.array([i if i < HEAD_WORDS else HEAD_WORDS + suffix_class(w) for i, w in enumerate(self.words)], dtype=np.int32)
-            self.symbol = np.concatenate((symbol, [END])).astype(np.int32)  # the last place is the end of a text
-            counts = np.concatenate((self.counts, [self.ends])).astype(np.float64)
-            self.known = counts > 0
-            self.base = np.log10((counts + SMOOTH) / self.all_mass())
-            group = np.maximum(self.symbol - HEAD_WORDS, 0)
-            own = np.where((self.symbol < HEAD_WORDS) | (self.symbol == END), 1.0, 0.0)
-            group = np.where(self.symbol == END, 0, group)
-            # The leaf of each place; heads, the end and words outside the vocabulary as contexts have none (-1).
-            n = self.vocabulary()
-            self.leaf = np.full(len(counts), -1, dtype=np.int64)
-            self.leaf[HEAD_WORDS : HEAD_WORDS + n] = self.tree.leaf
-            self.inside = np.where((own > 0) | (self.leaf >= 0), 0.0, np.log10((counts + SMOOTH) / self.tree.rest_mass[group]))
+        """Tables for lookups, built once in each worker: by place in the dictionary, then unknown words by class, then
+        the end of a text."""
+        if not hasattr(self, "table"):
+            n = len(self.words)
+            classes = suffix_classes(self.words)
+            symbol = np.where(np.arange(n) < HEAD_WORDS, np.arange(n), HEAD_WORDS + classes)
+            self.symbol = np.concatenate((symbol, HEAD_WORDS + np.arange(CLASSES), [END])).astype(np.int32)
+            self.base = np.zeros(n + CLASSES + 1)
+            self.base[:n] = np.log10((self.counts + SMOOTH) / self.all_mass())
+            self.base[-1] = np.log10((self.ends + SMOOTH) / self.all_mass())
+            self.inside = np.zeros(n + CLASSES + 1)
+            self.inside[HEAD_WORDS:n] = np.log10((self.counts[HEAD_WORDS:] + SMOOTH) / self.class_mass()[classes[HEAD_WORDS:]])
+            # The leaf of each place, -1 for words without vectors of their own.
+            own = len(self.tree.leaf)
+            self.leaf = np.full(n + CLASSES + 1, -1, dtype=np.int64)
+            self.leaf[HEAD_WORDS : HEAD_WORDS + own] = self.tree.leaf
+            self.inside[HEAD_WORDS : HEAD_WORDS + own] = self.tree.class_share[classes[HEAD_WORDS : HEAD_WORDS + own]]
             self.table = log_table(self.model)
+            self.far = self.model["context"] * self.model["place"][0]
+            spoken = np.concatenate((np.empty(own, dtype=np.int64), np.arange(SYMBOLS)))
+            spoken[self.tree.leaf] = HEAD_WORDS + classes[HEAD_WORDS : HEAD_WORDS + own]
+            self.near = (self.model["context"][spoken] + self.tree.fixed()) * self.model["place"][1]
         return self
 
-    def vocabulary(self) -> int:
-        """Words beside the head's that have vectors."""
-        return len(self.tree.leaf)
-
-    def plant(self, least: int) -> Scorer:
-        """Give the words of ``least`` tokens or more their leaves."""
-        n = int((self.counts[HEAD_WORDS:] >= least).sum())
-        kinds = np.array([suffix_class(w) for w in self.words[HEAD_WORDS : HEAD_WORDS + n]], dtype=np.int64)
-        self.tree = Words.build(kinds, self.counts[HEAD_WORDS : HEAD_WORDS + n].astype(np.float64), self.class_mass(), SMOOTH, self.model["target"].shape[1])
+    def plant(self, words: int, least: int) -> Scorer:
+        """Give the most frequent words of at least ``least`` tokens their leaves."""
+        n = min(words, int((self.counts[HEAD_WORDS:] >= least).sum()))
+        kinds = suffix_classes(self.words.slice(HEAD_WORDS, n)).astype(np.int64)
+        self.tree = Words.build(kinds, self.counts[HEAD_WORDS : HEAD_WORDS + n].astype(np.float64), self.class_mass(), SMOOTH, self.model["target"].shape[1], SYMBOLS)
         return self
 
-    def flow(self, words: list[list[bytes]]) -> Flow:
-        """The tokens of some texts, with their contexts."""
-        sizes = np.array([len(w) + 1 for w in words])
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        place = np.full(int(sizes.sum()), len(self.words), dtype=np.int64)
-        for w, s in zip(words, starts.tolist(), strict=True):
-            place[s : s + len(w)] = np.fromiter(map(self.places.__getitem__, w), dtype=np.int64, count=len(w))
-        rare = place < 0
-        safe = np.where(rare, 0, place)
-        symbol = np.where(rare, HEAD_WORDS - 1 - place, self.symbol[safe])
-        leaf = np.where(rare, -1, self.leaf[safe])
-        context = []
-        for own, end in ((symbol, END), (leaf, -1)):
-            last = np.concatenate(([end], own[:-1]))
-            before = np.concatenate(([end, end], own[:-2]))[: len(own)]
-            before[starts], last[starts] = end, end
-            before[starts[sizes > 1] + 1] = end
-            context += [before, last]
-        in_class = (symbol >= HEAD_WORDS) & (symbol < END)
-        target = np.where(leaf >= 0, leaf, np.where(in_class, self.tree.rest[np.where(in_class, symbol - HEAD_WORDS, 0)], -1))
-        return Flow(sizes, starts, safe, rare, symbol, target, *context)
-
-    def own_vectors(self, flow: Flow) -> np.ndarray:
-        """What the words' own vectors add to the predicted vector of each token."""
-        padded = np.concatenate((self.tree.context, np.zeros((1, self.tree.context.shape[1]), dtype=np.float32)))
-        return padded[flow.leaf_before] * self.model["place"][0] + padded[flow.leaf_last] * self.model["place"][1]
-
-    def predicted(self, flow: Flow, at: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Predicted vectors of the tokens ``at``, with a one at the end for the bias."""
-        context, fixed = self.model["context"], self.tree.fixed()
-        before = context[flow.before[at]] + fixed[flow.leaf_before[at]]
-        last = context[flow.last[at]] + fixed[flow.leaf_last[at]]
-        q = before * self.model["place"][0] + last * self.model["place"][1] + own
-        return np.concatenate((q, np.ones((len(at), 1), dtype=np.float32)), axis=1)
-
-    def log_scores(self, flow: Flow) -> np.ndarray:
+    def places(self, words: pa.Array, most: int | None = None) -> np.ndarray:
+        """Rows of the lookup tables for distinct words, and at the end for the end of a text. Words beyond the ``most``
+        most frequent count as unknown ones of their class."""
+        n = len(self.words)
+        found = pc.index_in(words, value_set=self.words.slice(0, most)).fill_null(-1).to_numpy()
+        return np.append(np.where(found >= 0, found, n + suffix_classes(words)), n + CLASSES).astype(np.int64)
+
+    def targets(self, flow: Flow, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(tokens with a leaf, their leaves, their last context words) of a flow; ``rows`` of its distinct words."""
+        leaves = self.leaf[rows]
+        at = np.flatnonzero(leaves[flow.place] >= 0)
+        n = len(self.tree.leaf)
+        context = np.where(leaves >= 0, leaves, n + self.symbol[rows])[flow.place]
+        first = flow.last[at] == END
+        last = np.where(first, n + END, context[at - 1])
+        return at, leaves[flow.place[at]], last
+
+    def predicted(self, flow: Flow, at: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Predicted vectors of the tokens ``at``."""
+        return self.far[flow.before[at]] + self.near[last] + self.tree.last[last]
+
+    def log_scores(self, flow: Flow, rows: np.ndarray) -> np.ndarray:
         """log10 P of each token; a word outside the dictionary as all other words of its class together."""
-        score = self.table[flow.before, flow.last, flow.symbol].astype(np.float64) + np.where(flow.rare, 0.0, self.inside[flow.safe])
-        if not self.vocabulary():
-            return score
-        own = self.own_vectors(flow)
-        known = np.flatnonzero((flow.leaf_before >= 0) | (flow.leaf_last >= 0))
-        for i in range(0, len(known), BLOCK):
-            at = known[i : i + BLOCK]
-            change = own[at] @ self.model["target"].T
-            total = np.exp(self.table[flow.before[at], flow.last[at]] * np.float32(np.log(10)) + change).sum(axis=1)
-            score[at] += (change[np.arange(len(at)), flow.symbol[at]] - np.log(total)) / np.log(10)
-        at = np.flatnonzero(flow.target >= 0)
-        score[at] += self.tree.log_inside(flow.target[at], self.predicted(flow, at, own[at])) / np.log(10)
+        score = self.table[flow.before, flow.last, flow.symbol] + self.inside[rows][flow.place]
+        if len(self.tree.leaf):
+            at, leaves, last = self.targets(flow, rows)
+            score[at] += self.tree.log_inside(leaves, self.predicted(flow, at, last)) / np.log(10)
         return score
 
     def all_mass(self) -> float:
@@ -348,37 +368,31 @@ class Scorer:
         return self.class_tokens + SMOOTH * (self.class_words + 1)
 
 
-def train_words(texts: DataFrame, scorer: Scorer, unigram: np.ndarray, seed: int) -> None:
+KINDS = ("last", "groups", "words")
+
+
+def train_words(texts: DataFrame, scorer: Scorer, seed: int) -> None:
     """Train the words' vectors over all texts: each task on its own, rows averaged by the tokens behind them."""
-    tree = scorer.tree
     width = scorer.model["target"].shape[1]
-    kinds = ("context", "words", "groups")
     schema = pa.schema([("kind", pa.int32()), ("row", pa.int32()), ("n", pa.float64()), *((f"v{i}", pa.float32()) for i in range(width + 1))])
     passes = max(1, min(MOST_PASSES, LEAST_TOKENS // max(scorer.tokens, 1)))
     shared = texts.sparkSession.sparkContext.broadcast(scorer)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = copy(shared.value.ready())  # the lookup tables are built once in each worker
-        own.tree = replace(own.tree).zeros(width)
-        trainer = Trainer(own.tree, own.model["target"], unigram, seed + TaskContext.get().partitionId())
-        place = own.model["place"]
-        passed = (utf8(batch, "t") for batch in batches)
+        own = replace(shared.value)
+        own.tree = replace(own.tree, **{k: np.zeros_like(getattr(own.tree, k)) for k in KINDS})
+        own.ready()
+        trainer = Trainer(own.tree, seed + TaskContext.get().partitionId())
         if passes > 1:  # a small corpus, held in memory
-            passed = list(passed) * passes
-        for texts in passed:
-            for a, b in chunks(texts, 1 << (16 if passes > 1 else 19)):
-                flow = own.flow([words_of(t) for t in texts[a:b]])
-                vectors = own.own_vectors(flow)
-                back = np.zeros_like(vectors)
-                known = np.flatnonzero((flow.leaf_before >= 0) | (flow.leaf_last >= 0))
-                for i in range(0, len(known), BLOCK):
-                    at = known[i : i + BLOCK]
-                    back[at] = trainer.symbols(own.table[flow.before[at], flow.last[at]] * np.float32(np.log(10)), flow.symbol[at], vectors[at])
-                at = np.flatnonzero(flow.target >= 0)
-                back[at] += trainer.leaves(flow.target[at], own.predicted(flow, at, vectors[at]))[:, :width]
-                one, two = np.flatnonzero(flow.leaf_before >= 0), np.flatnonzero(flow.leaf_last >= 0)
-                trainer.contexts(np.concatenate((flow.leaf_before[one], flow.leaf_last[two])), np.concatenate((back[one] * place[0], back[two] * place[1])))
-        for k, kind in enumerate(kinds):
+            batches = list(batches) * passes
+        for batch in batches:
+            for _, part in text_chunks(batch, "t", STEP_BYTES // (8 if passes > 1 else 1)):
+                words = tokens_of(part)
+                rows = own.places(words.distinct, HEAD_WORDS + len(own.tree.leaf))
+                flow = flow_of(words, own.symbol[rows])
+                at, leaves, last = own.targets(flow, rows)
+                trainer.batch(leaves, last, own.predicted(flow, at, last))
+        for k, kind in enumerate(KINDS):
             rows, value = np.flatnonzero(trainer.seen[kind]), getattr(own.tree, kind)
             for i in range(0, len(rows), 50_000):
                 part = rows[i : i + 50_000]
@@ -390,77 +404,76 @@ def train_words(texts: DataFrame, scorer: Scorer, unigram: np.ndarray, seed: int
     means = [(F.sum(F.col(f"v{i}") * F.col("n")) / F.sum("n")).cast("float").alias(f"v{i}") for i in range(width + 1)]
     got = texts.select("t").mapInArrow(scan, ddl).groupBy("kind", "row").agg(*means).toArrow()
     which, rows = got.column(0).to_numpy(), got.column(1).to_numpy()
-    for k, kind in enumerate(kinds):
-        at, value = np.flatnonzero(which == k), getattr(tree, kind)
+    for k, kind in enumerate(KINDS):
+        at, value = np.flatnonzero(which == k), getattr(scorer.tree, kind)
         for i in range(value.shape[1]):
-            value[rows[at], i] = got.column(2 + i).to_numpy()[at]
+            value[rows[at], i] = got.column(3 - 1 + i).to_numpy()[at]
 
 
-def learn(texts: DataFrame, how: Training | None = None, dictionary_words: int = DICTIONARY_WORDS, vocabulary_count: int = VOCABULARY_COUNT) -> tuple[Scorer, DataFrame]:
+def learn(texts: DataFrame, how: Training | None = None, dictionary_words: int = DICTIONARY_WORDS, vocabulary_words: int = VOCABULARY_WORDS, least_count: int = LEAST_COUNT) -> tuple[Scorer, DataFrame]:
     """The scorer and the table of all words' counts, from training texts (column t)."""
     counts = cut(count_words(texts), "words")
-    top = frequent_words(counts, dictionary_words, vocabulary_count)
+    words, numbers = frequent_words(counts, dictionary_words)
     ends = texts.count()
-    head = {w: i for i, (w, _, _) in enumerate(top[:HEAD_WORDS])}
     class_tokens, class_words, tokens, distinct = np.zeros(CLASSES), np.zeros(CLASSES), ends, int(ends > 0)
     for row in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect():  # 28 rows
         class_tokens[row["class"]], class_words[row["class"]] = row["n"], row["k"]
         tokens, distinct = tokens + row["n"], distinct + row["k"]
-    for _, c, n in top[:HEAD_WORDS]:
-        class_tokens[c] -= n
-        class_words[c] -= 1
-    triples = count_triples(texts, head)
-    model = train(triples, how)
-    scorer = Scorer([w for w, _, _ in top], np.array([n for _, _, n in top], dtype=np.int64), tokens, distinct, class_tokens, class_words, ends, model).plant(vocabulary_count)
-    if scorer.vocabulary():
-        unigram = triples.sum(axis=(0, 1)) + SMOOTH
-        train_words(texts, scorer, unigram / unigram.sum(), (how or Training()).seed)
+    heads = suffix_classes(words.slice(0, HEAD_WORDS))
+    np.subtract.at(class_tokens, heads, numbers[:HEAD_WORDS])
+    np.subtract.at(class_words, heads, 1)
+    model = train(count_triples(texts, words.slice(0, HEAD_WORDS)), how)
+    scorer = Scorer(words, numbers, tokens, distinct, class_tokens, class_words, ends, model).plant(vocabulary_words, least_count)
+    if len(scorer.tree.leaf):
+        train_words(texts, scorer, (how or Training()).seed)
     return scorer, counts
 
 
-def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Training | None = None, dictionary_words: int = DICTIONARY_WORDS, vocabulary_count: int = VOCABULARY_COUNT) -> DataFrame:
+def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Training | None = None, dictionary_words: int = DICTIONARY_WORDS, vocabulary_words: int = VOCABULARY_WORDS, least_count: int = LEAST_COUNT) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A null text is empty: its one token is the end. Held-out documents are scored, not learned from; a corpus of
-    held-out documents only gives the scores of an untrained model; repeated rows count and stay; other columns
-    are not read.
+    held-out documents only gives the scores of an untrained model; repeated rows count and stay; an empty table gives
+    an empty one; other columns are not read.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("t"))
-    scorer, counts = learn(narrow.where("not held_out"), how, dictionary_words, vocabulary_count)
+    scorer, counts = learn(narrow.where("not held_out"), how, dictionary_words, vocabulary_words, least_count)
     shared = spark.sparkContext.broadcast(scorer)
-    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("word", pa.binary()), ("times", pa.int32()), ("mass", pa.float64())])
+    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("word", pa.string()), ("times", pa.int64()), ("mass", pa.float64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.ready()
-        masses = own.tree.rest_mass
+        masses, n_dictionary, ends = own.class_mass(), len(own.words), own.ends
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            texts, ids, out = utf8(batch, "t"), batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chunks(texts, 4 << 20):
-                words = [words_of(t) for t in texts[a:b]]
-                flow = own.flow(words)
-                sizes, starts, rare, safe = flow.sizes, flow.starts, flow.rare, flow.safe
-                score = own.log_scores(flow)
-                base = np.where(rare, 0.0, own.base[safe])
-                known = np.where(rare, 0, own.known[safe])
-                sums = [np.add.reduceat(x, starts) for x in (known, base, score)]
-                rids = rid + np.arange(len(words))
-                rid += len(words)
-                tails = [Counter(w[i] for i in np.flatnonzero(rare[s : s + len(w)]).tolist()) for w, s in zip(words, starts.tolist(), strict=True)]
-                more = [(r, x, n) for r, tail in zip(rids.tolist(), tails, strict=True) for x, n in tail.items()]
-                k, m = len(words), len(more)
+            for first, part in text_chunks(batch, "t", CHUNK_BYTES):
+                words, k = tokens_of(part), len(part)
+                rows = own.places(words.distinct)
+                flow = flow_of(words, own.symbol[rows])
+                unknown = (rows >= n_dictionary) & (rows < n_dictionary + CLASSES)
+                has = np.where(rows < n_dictionary, 1, np.where(unknown, 0, int(ends > 0)))
+                known, base, score = (np.add.reduceat(x, flow.starts) for x in (has[flow.place], own.base[rows][flow.place], own.log_scores(flow, rows)))
+                # Words outside the dictionary, once a document, with how often they stand there.
+                at = np.flatnonzero(unknown[flow.place])
+                document = np.searchsorted(flow.starts, at, side="right") - 1
+                pair, times = np.unique(document * len(rows) + flow.place[at], return_counts=True)
+                document, place = pair // len(rows), pair % len(rows)
+                m = len(pair)
+                nothing = lambda kind, n=m: pa.nulls(n, kind)
+                zeros, empty = np.zeros(m), pa.nulls(k, pa.string())
                 yield record_batch(schema, [
-                    pa.array(np.concatenate((rids, np.array([x[0] for x in more], dtype=np.int64)))), ids[a:b] + [None] * m, out[a:b] + [None] * m,
-                    sizes.tolist() + [None] * m, sums[0].tolist() + [0] * m, sums[1].tolist() + [0.0] * m, sums[2].tolist() + [0.0] * m,
-                    [None] * k + [x[1] for x in more], [None] * k + [x[2] for x in more], [None] * k + [masses[suffix_class(x[1])] for x in more],
+                    pa.array(rid + np.concatenate((np.arange(k), document))), pa.concat_arrays([batch.column(0).slice(first, k), nothing(pa.int64())]), pa.concat_arrays([batch.column(1).slice(first, k), nothing(pa.bool_())]),
+                    pa.concat_arrays([pa.array(flow.sizes), nothing(pa.int64())]), pa.array(np.concatenate((known, zeros)).astype(np.int64)), pa.array(np.concatenate((base, zeros))), pa.array(np.concatenate((score, zeros))),
+                    pa.concat_arrays([empty, words.distinct.take(pa.array(place)).cast(pa.string())]), pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(times.astype(np.int64))]), pa.concat_arrays([pa.nulls(k, pa.float64()), pa.array(masses[rows[place] - n_dictionary])]),
                 ])
+                rid += k
 
-    kind = "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, word binary, times int, mass double"
+    kind = "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, word string, times long, mass double"
     rows = narrow.mapInArrow(scan, kind)
     # Words outside the dictionary meet their counts; rows without a word get a key of their own, so none is hot.
-    keyed = rows.withColumn("join_word", F.coalesce("word", F.concat(F.lit(" "), F.col("rid").cast("string")).cast("binary")))
+    keyed = rows.withColumn("join_word", F.coalesce("word", F.concat(F.lit(" "), F.col("rid").cast("string"))))
     met = keyed.join(counts.select(F.col("word").alias("counted"), "n"), F.col("join_word") == F.col("counted"), "left")
     c = F.coalesce("n", F.lit(0)).cast("double") + SMOOTH
     is_tail = F.col("word").isNotNull()
