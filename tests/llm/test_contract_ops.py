@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -136,6 +137,22 @@ def test_token_files_round_trip(spark):
     assert tokens.token_table(spark.createDataFrame([], DDL)).collect() == []
 
 
+def test_encoder_equals_the_library_on_odd_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own, rng = Tokenizer.from_file(path), tokens.PieceEncoder(path), random.Random(11)
+    letters = ["a", "b", "Zé", "ß", "don't", "'s", "1", "23", "!", "?!", " ", "  ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\u00a0", "\u2003", "\u2028", "\u3000", "中文", "\U0001f600", "\u0301", "ɐ", "Ж", "\x00", *own.special]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    texts += [None, "", " ", "a " * 30_000, "x" * 100_000, None]
+    ids, sizes = own.encode(pa.array(texts, pa.string()), 2)
+    ends = np.cumsum(sizes)
+    for text, a, b in zip(texts, ends - sizes, ends, strict=True):
+        assert ids[a:b].tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 2]
+    assert [len(x) for x in own.encode(pa.array([], pa.string()), 2)] == [0, 0]
+
+
 def test_token_search_by_id(spark, tmp_path):
     path = str(tmp_path / "tokens")
     tokens.write_tokens(frame(spark), path)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc_text, cut, record_batch
+from .common import bounded_batches, crc_text, cut, record_batch, text_chunks
 from .lmwords import LEAST_TOKENS, MOST_PASSES, Trainer, Words
 
 #: Fixed by the task: smoothing of the unigram base, and the share of documents held out.
@@ -100,18 +100,6 @@ def tokens_of(texts: pa.Array) -> Tokens:
     return Tokens(sizes, coded.dictionary, coded.indices.to_numpy().astype(np.int64))
 
 
-def text_chunks(batch: pa.RecordBatch, name: str, limit: int) -> Iterator[tuple[int, pa.Array]]:
-    """(first row, texts) of parts of a batch with about ``limit`` bytes each; a longer text is a part of its own."""
-    column = batch.column(batch.schema.get_field_index(name))
-    column = column if pa.types.is_string(column.type) else column.cast(pa.string())
-    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64))
-    start = 0
-    while start < len(column):
-        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + limit, side="right")))
-        yield start, column.slice(start, stop - start)
-        start = stop
-
-
 def held_out(key: Column) -> Column:
     """Whether a document is held out; a null id counts as the empty text, and so is held out."""
     return F.pmod(crc_text(key), F.lit(HOLD_OUT)) == 0

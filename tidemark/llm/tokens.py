@@ -16,12 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, cut, new_path, record_batch
+from .common import bounded_batches, cut, new_path, record_batch, text_chunks
 
 #: Fixed by the task.
 VOCABULARY = "byte_bpe_50k.json"
@@ -37,8 +38,12 @@ FILE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField
 
 #: Fixed value: the published pre-tokenizer pattern of byte-level BPE.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Two white-space characters of which the second is a blank: there, a cut before a blank may split a piece.
-_ODD = regex.compile(r"\s ")
+#: Two white-space characters of which the second is a blank: there, a cut before a blank may split a piece. Spelt out, as
+#: Arrow's patterns know ASCII white space only.
+_SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_ODD = _SPACES + " "
+#: Text (bytes) that is encoded at once.
+CHUNK_BYTES = 4 << 20
 
 
 def byte_letters() -> dict[int, int]:
@@ -82,25 +87,58 @@ class PieceEncoder:
             ids += [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
         return array.array("I", ids).tobytes()
 
-    def _missing(self, known: dict[str, bytes], part: str, blank: str) -> bytes:
-        ids = self.part(blank + part)
-        if len(known) < MEMORY_PIECES:
-            known[part] = ids
-        return ids
-
-    def encode(self, text: str | None) -> bytes:
-        """Token ids of a text; a null is empty."""
-        if not text:
-            return b""
-        if not self.cuttable or _ODD.search(text) or any(s in text for s in self.special):
-            return self.whole(text)
-        head, *rest = text.split(" ")
-        get, later = self.later.get, self.later
-        out = [get(p) for p in rest]
-        if None in out:
-            out = [self._missing(later, p, " ") if ids is None else ids for p, ids in zip(rest, out, strict=True)]
-        start = self.first.get(head)
-        return (self._missing(self.first, head, "") if start is None else start) + b"".join(out)
+    def _ids(self, known: dict[str, bytes], parts: list[str], blank: str) -> list[bytes]:
+        """Ids of distinct parts, remembered as far as there is room."""
+        out = [known.get(p) for p in parts]
+        for i, ids in enumerate(out):
+            if ids is None:
+                out[i] = self.part(blank + parts[i])
+                if len(known) < MEMORY_PIECES:
+                    known[parts[i]] = out[i]
+        return out
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each); ``end`` follows each text, a null is empty.
+
+        All texts are cut at once and each distinct part is looked up once; the texts' ids are then gathered as numbers.
+        """
+        n, texts = len(texts), pc.fill_null(texts, "")
+        odd = np.ones(n, dtype=bool)
+        if self.cuttable and n:
+            odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False).copy()
+            for special in self.special:
+                odd |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~odd))
+        lists = pc.split_pattern(plain, " ")
+        counts = np.zeros(n, dtype=np.int64)
+        counts[~odd] = pc.list_value_length(lists).to_numpy()
+        parts = pc.list_flatten(lists)
+        starts = (np.cumsum(counts[~odd]) - counts[~odd]).astype(np.int64)
+        later = np.ones(len(parts), dtype=bool)
+        later[starts] = False
+        coded = parts.filter(pa.array(later)).dictionary_encode()
+        # Entries: distinct later parts, each cut text's first part, each other text whole, and the end.
+        wholes = [self.whole(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        entries = [*self._ids(self.later, coded.dictionary.to_pylist(), " "), *self._ids(self.first, parts.take(pa.array(starts)).to_pylist(), ""), *wholes, np.array([end], dtype="<u4").tobytes()]
+        lengths = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
+        first_part, whole = len(coded.dictionary), len(coded.dictionary) + len(starts)
+        # The entries of each text, with the end.
+        per_text = np.where(odd, 1, counts) + 1
+        stops = np.cumsum(per_text)
+        order = np.empty(int(stops[-1]) if n else 0, dtype=np.int64)
+        order[stops - 1] = len(entries) - 1
+        begins = stops - per_text
+        order[begins[odd]] = whole + np.arange(int(odd.sum()))
+        order[begins[~odd]] = first_part + np.arange(len(starts))
+        middle = np.ones(len(order), dtype=bool)
+        middle[stops - 1] = middle[begins] = False
+        order[middle] = coded.indices.to_numpy()
+        sizes = lengths[order]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        shift = (np.cumsum(lengths) - lengths)[order] - (ends - sizes)
+        ids = np.frombuffer(b"".join(entries), dtype="<u4")[np.repeat(shift, sizes) + np.arange(total)]
+        return ids, np.add.reduceat(sizes, begins) if n else np.empty(0, np.int64)
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -128,15 +166,14 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     schema = pa.schema([("doc_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.list_(pa.field("element", pa.int32(), nullable=False)))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end, before = encoder(vocabulary), array.array("I", [end_id]).tobytes(), 0
+        own, before = encoder(vocabulary), 0
         for batch in batches:
-            parts = [own.encode(t) + end for t in batch.column(1).to_pylist()]
-            sizes = np.fromiter((len(p) // 4 for p in parts), dtype=np.int64, count=len(parts))
-            offsets = np.concatenate(([0], np.cumsum(sizes)))
-            flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(parts))])
-            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat, type=schema.field("ids").type)
-            yield record_batch(schema, [batch.column(0), pa.array(before + offsets[:-1]), ids])
-            before += int(offsets[-1])
+            for first, texts in text_chunks(batch, "t", CHUNK_BYTES):
+                flat, sizes = own.encode(texts, end_id)
+                offsets = np.concatenate(([0], np.cumsum(sizes)))
+                ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int32)), type=schema.field("ids").type)
+                yield record_batch(schema, [batch.column(0).slice(first, len(texts)), pa.array(before + offsets[:-1]), ids])
+                before += int(offsets[-1])
 
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("t"), F.xxhash64(F.col(text)).alias("tie"), F.monotonically_increasing_id().alias("place"))
     ordered = narrow.repartitionByRange("doc_id", "tie", "place").sortWithinPartitions("doc_id", "tie", "place").select("doc_id", "t")
