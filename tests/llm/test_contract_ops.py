@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 from tests.llm.helpers import DDL, collected, corpus, frame
-from tidemark.llm import bands, decontam, langid, mixing, quality, sharding, simhash, tokens
+from tidemark.llm import bands, decontam, langid, mixing, quality, sharding, sieve, simhash, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -311,12 +311,12 @@ def near_copies():
     return rows
 
 
-@pytest.mark.parametrize("block, broadcast", [(256, 500_000), (2, 0)])
-def test_one_of_each_group_stays(spark, monkeypatch, block, broadcast):
-    """Small blocks deal the bands to pairs of blocks; no broadcast takes the joins by a shuffle."""
+@pytest.mark.parametrize(("block", "shingles", "bits"), [(256, 1 << 20, 1 << 27), (2, 400, 1 << 15)])
+def test_one_of_each_group_stays(spark, monkeypatch, block, shingles, bits):
+    """Small blocks deal the bands to pairs of blocks; a bitmap of few bits lets other rows pass, which the joins sort out."""
     monkeypatch.setattr(bands, "BLOCK", block)
-    monkeypatch.setattr(bands, "BROADCAST_ROWS", broadcast)
-    monkeypatch.setattr(simhash, "BROADCAST_ROWS", broadcast or 1_000_000)
+    monkeypatch.setattr(bands, "BLOCK_SHINGLES", shingles)
+    monkeypatch.setattr(sieve, "BITS", bits)
     rows = near_copies()
     docs = frame(spark, rows)
     kept = simhash.keep_one_per_group(docs)
@@ -349,6 +349,19 @@ def test_links_across_equal_all_pairs():
     assert len(edges) == len(set(roots)) - len(set(group))
 
 
+@pytest.mark.parametrize("bits", [1 << 27, 1 << 15, 8])
+def test_the_sieve_loses_no_match(spark, monkeypatch, bits):
+    monkeypatch.setattr(sieve, "BITS", bits)
+    from pyspark.sql import functions as F
+
+    rows = spark.range(3000).select(F.xxhash64("id").alias("h"), "id").unionAll(spark.createDataFrame([(None, -1), (-(2**63), -2), (2**63 - 1, -3), (0, -4)], "h long, id long"))
+    wanted = rows.where("id % 7 = 0 or id < 0").select(F.col("h").alias("w"))
+    got = {r.id: r["__may"] for r in sieve.sifted(rows, F.col("h"), wanted, "w").collect()}
+    assert len(got) == 3004 and all(got[i] for i in got if i % 7 == 0 and i >= 0) and got[-2] and got[-3] and got[-4] and not got[-1]
+    assert bits < 1 << 27 or sum(got.values()) < 440
+    assert sieve.matching(rows, F.col("h"), wanted.limit(0), "w").count() == 0
+
+
 # --- 8: decontamination
 
 BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

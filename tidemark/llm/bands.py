@@ -1,22 +1,24 @@
-"""Links of texts whose word-shingle sets reach a Jaccard similarity that three differing SimHash bits cannot show.
+"""Links of texts whose shingle sets reach a Jaccard similarity: MinHash bands name candidates, sets decide.
 
-MinHash bands name candidates. Every text of a band is compared with the band's most typical text, which links a group
-of copies by as many comparisons as it has texts. Only where a band still holds several components are the others
-compared, across components. All comparisons are exact, on sets of 64-bit shingle hashes.
+Every text of a band is compared with the band's most typical text, which links a group of copies by as many comparisons
+as it has texts. Only where a band still holds several components are the others compared, across components. All
+comparisons are exact, on sets of 64-bit shingle hashes. Nothing that grows with the data is broadcast, and a task
+compares blocks that are bounded by texts and by shingles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, record_batch, utf8, words_of
+from .common import cut, record_batch, words_of
 from .graph import connected_components
+from .sieve import matching
 
 #: Fixed by the task: words in a shingle, and the similarity from which texts are near copies.
 SHINGLE_WORDS = 5
@@ -24,14 +26,16 @@ JACCARD = 0.8
 #: Bands and rows of a band: a pair at the threshold shares a band with a chance of 0.996, one at 0.9 of 0.999999.
 BANDS = 14
 ROWS = 5
-#: Texts that one task compares with each other, or with one typical text; more are dealt to several tasks.
+#: Texts, and shingles, that one task compares with each other; more are dealt to several tasks.
 BLOCK = 256
-#: Keys (rows of numbers) up to which a side is broadcast, behind a count; more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
+BLOCK_SHINGLES = 1 << 20
 
 #: Odd multipliers: each puts the shingles' 32-bit hashes in another order.
 _MULTIPLY = (np.random.default_rng(7).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
 
+#: From a column of payloads to each text's sorted distinct shingle hashes.
+Unpack = Callable[[pa.Array], list[np.ndarray]]
+
 
 def shingle_set(text: bytes | None, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
     """Distinct 64-bit hashes, sorted, of the text's shingles; fewer words are one shingle, none make an empty set."""
@@ -54,6 +58,14 @@ def band_keys(codes: np.ndarray) -> list[int]:
     return np.array([xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(least)], dtype=np.uint64).view(np.int64).tolist()
 
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets reach the threshold."""
+    if min(len(a), len(b)) < JACCARD * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= JACCARD * (len(a) + len(b) - both)
+
+
 def links_across(roots: list[int], sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
     """Edges between roots of a spanning forest of the texts, linked by similarity or by an equal root."""
     sizes = np.array([len(s) for s in sets])
@@ -83,70 +95,59 @@ def links_across(roots: list[int], sets: list[np.ndarray]) -> Iterator[tuple[int
                 rest = rest[~found]
 
 
-def _small(df: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
-
-
-def _sizes_fit(a: Column, b: Column) -> Column:
-    return F.least(a, b) >= JACCARD * F.greatest(a, b)
-
-
 def candidates(texts: DataFrame) -> DataFrame:
-    """(k, id, fp, size, n) for each text (id, fp, size, keys) in a band key that n > 1 distinct texts share."""
-    keyed = texts.select("id", "fp", "size", F.explode("keys").alias("k"))
-    shared = cut(keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
-    return cut(keyed.join(_small(shared, shared.count()), "k"), "members")
+    """(k, id, node, weight, n) for each text (id, node, weight, keys) in a band key that several texts share.
+
+    A text may stand in several rows; ``n`` counts a key's rows. Least and greatest text of a key combine before the
+    shuffle, so that keys of one text, however often it stands, fall out.
+    """
+    keyed = texts.select("id", "node", "weight", F.explode("keys").alias("k"))
+    shared = cut(keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("k", "n"), "bands")
+    return cut(matching(keyed, F.col("k"), shared, "k").join(shared, "k").select("k", "id", "node", "weight", "n").distinct(), "members")
 
 
 def typical_pairs(members: DataFrame) -> DataFrame:
-    """(rep, salt, salts, id, fp, rfp, size, rsize): each text of a key with the key's most typical text.
+    """(rep, rnode, salt, salts, id, node): each text of a key with the key's most typical text.
 
     That is the text whose keys are shared most: of a group of copies, the one that the others are made from. Its
     pairs are dealt to ``salts`` parts of about BLOCK.
     """
-    weight = members.groupBy("id").agg(F.sum("n").alias("w"))
-    best = members.join(weight, "id").groupBy("k").agg(F.max(F.struct("w", "id", "fp", "size", "n")).alias("r")).select("k", "r.*")
+    share = members.groupBy("id").agg(F.sum("n").alias("w"))
+    best = members.join(share, "id").groupBy("k").agg(F.max(F.struct("w", "id", "node", "n")).alias("r")).select("k", "r.*")
     most = best.groupBy("id").agg(F.max("n").alias("most"))
-    reps = cut(best.join(most, "id").select("k", F.col("id").alias("rep"), F.col("fp").alias("rfp"), F.col("size").alias("rsize"), F.ceil(F.col("most") / BLOCK).alias("salts")), "typical")
-    pairs = members.join(_small(reps, reps.count()), "k").where((F.col("fp") != F.col("rfp")) & _sizes_fit(F.col("size"), F.col("rsize")))
-    return pairs.select("rep", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), "salts", "id", "fp", "rfp", "size", "rsize").distinct()
+    reps = cut(best.join(most, "id").select("k", F.col("id").alias("rep"), F.col("node").alias("rnode"), F.ceil(F.col("most") / BLOCK).alias("salts")), "typical")
+    pairs = members.join(reps, "k").where(F.col("node") != F.col("rnode"))
+    return pairs.select("rep", "rnode", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), "salts", "id", "node").distinct()
 
 
-def shingle_sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(id, codes) of the texts in ``wanted`` (id, doc_id of one row that has the text)."""
-    schema = pa.schema([("id", pa.int64()), ("codes", pa.list_(pa.int64()))])
+def verified(pairs: DataFrame, sets: DataFrame, unpack: Unpack) -> DataFrame:
+    """(a, b): nodes of the pairs whose sets reach the threshold."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    parts = pairs.select(F.col("rep").alias("rid"), "salts").distinct().select("rid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("part"))
+    typical = parts.join(sets, parts["rid"] == sets["id"]).select("rid", "part", F.col("payload").alias("rpayload"))
+    joined = pairs.join(sets, "id").join(typical, (F.col("rep") == F.col("rid")) & (F.col("salt") == F.col("part")))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield record_batch(schema, [batch.column(0), [shingle_set(t).view(np.int64) for t in utf8(batch, "t")]])
+            keep = pa.array([similar(a, b) for a, b in zip(unpack(batch.column(2)), unpack(batch.column(3)), strict=True)], pa.bool_())
+            yield record_batch(schema, [batch.column(0).filter(keep), batch.column(1).filter(keep)])
 
-    narrow = docs.select(F.xxhash64(F.col(text)).alias("h"), F.col(key).cast("long").alias("d"), F.col(text).alias("t"))
-    own = (F.col("h") == F.col("id")) & F.col("d").eqNullSafe(F.col("doc_id"))
-    found = narrow.join(_small(wanted, wanted.count()), own, "left_semi").select("h", "t")
-    return cut(found.mapInArrow(scan, "id long, codes array<long>").dropDuplicates(["id"]), "sets")
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): fingerprints of the pairs whose sets reach the threshold."""
-    parts = pairs.select(F.col("rep").alias("rid"), "salts").distinct().select("rid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("part"))
-    typical = parts.join(sets, parts["rid"] == sets["id"]).select("rid", "part", F.col("codes").alias("rcodes"))
-    joined = pairs.join(sets, "id").join(typical, (F.col("rep") == F.col("rid")) & (F.col("salt") == F.col("part")))
-    both = F.size(F.array_intersect("codes", "rcodes"))
-    return joined.where(both >= JACCARD * (F.col("size") + F.col("rsize") - both)).select(F.col("rfp").alias("a"), F.col("fp").alias("b"))
+    return joined.select("rnode", "node", "payload", "rpayload").mapInArrow(compare, "a long, b long")
 
 
 def mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(ids): lists of the texts to compare in keys of over two texts that hold several components (fp, root).
+    """(bucket, ids): lists of the texts to compare in keys of over two texts that hold several components (node, root).
 
-    A key of more than BLOCK texts is dealt to pairs of blocks; texts of its largest component, linked already, only
-    meet the other components' texts.
+    A key of more than BLOCK texts or BLOCK_SHINGLES shingles is dealt to pairs of blocks; texts of its largest component,
+    linked already, only meet the other components' texts.
     """
-    placed = cut(members.where("n > 2").join(roots, "fp", "left").select("k", "id", F.coalesce("root", "fp").alias("root")), "placed")
-    counts = placed.groupBy("k", "root").agg(F.count(F.lit(1)).alias("c"))
-    mixed = cut(counts.groupBy("k").agg(F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("k", F.col("m.root").alias("major"), F.col("m.c").alias("n_major"), (F.col("n") - F.col("m.c")).alias("n_minor")), "mixed")
-    rows = placed.join(_small(mixed, mixed.count()), "k").withColumn("is_major", F.col("root") == F.col("major"))
-    whole = F.col("n_major") + F.col("n_minor") <= BLOCK
-    majors, minors = (F.when(whole, F.lit(1)).otherwise(F.ceil(F.col(c) / BLOCK)).cast("int") for c in ("n_major", "n_minor"))
+    placed = cut(members.where("n > 2").join(roots, "node", "left").select("k", "id", "weight", F.coalesce("root", "node").alias("root")), "placed")
+    counts = placed.groupBy("k", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("weight").alias("s"))
+    mixed = cut(counts.groupBy("k").agg(F.max(F.struct("c", "root", "s")).alias("m"), F.sum("c").alias("n"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("k", F.col("m.root").alias("major"), F.col("m.c").alias("n_major"), (F.col("n") - F.col("m.c")).alias("n_minor"), F.col("m.s").alias("s_major"), (F.col("s") - F.col("m.s")).alias("s_minor")), "mixed")
+    rows = matching(placed, F.col("k"), mixed, "k").join(mixed, "k").withColumn("is_major", F.col("root") == F.col("major"))
+    whole = (F.col("n_major") + F.col("n_minor") <= BLOCK) & (F.col("s_major") + F.col("s_minor") <= BLOCK_SHINGLES)
+    blocks = lambda side: F.greatest(F.ceil(F.col(f"n_{side}") / BLOCK), F.ceil(F.col(f"s_{side}") / BLOCK_SHINGLES))
+    majors, minors = (F.when(whole, F.lit(1)).otherwise(blocks(side)).cast("int") for side in ("major", "minor"))
     rows = rows.withColumn("majors", majors).withColumn("minors", minors).withColumn("block", F.when(whole, F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), F.when(F.col("is_major"), F.col("majors")).otherwise(F.col("minors")))).cast("int"))
     part = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.cast("int").alias("x"), y.cast("int").alias("y"))
     over = lambda n, make: F.transform(F.sequence(F.lit(0), n - 1), make)
@@ -159,35 +160,35 @@ def mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
     return cut(listed.where("size(ids) > 1").select("ids").distinct().withColumn("bucket", F.monotonically_increasing_id()), "mixed-lists")
 
 
-def links_in(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+def links_in(buckets: DataFrame, sets: DataFrame, unpack: Unpack) -> DataFrame:
     """(a, b): links between the roots of the buckets' texts."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     rows = buckets.select("bucket", F.explode("ids").alias("i")).select("bucket", "i.id", "i.root").join(sets, "id")
-    listed = rows.groupBy("bucket").agg(F.collect_list("root").alias("roots"), F.collect_list("codes").alias("sets"))
+    listed = rows.groupBy("bucket").agg(F.collect_list("root").alias("roots"), F.collect_list("payload").alias("sets"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for roots, sets in zip(batch.column(0), batch.column(1), strict=True):
-                found = list(links_across(roots.as_py(), [s.values.to_numpy(zero_copy_only=False) for s in sets]))
+                found = list(links_across(roots.as_py(), unpack(sets.values)))
                 if found:
                     yield record_batch(schema, [[e[0] for e in found], [e[1] for e in found]])
 
     return listed.select("roots", "sets").mapInArrow(compare, "a long, b long")
 
 
-def link_groups(prints: DataFrame, docs: DataFrame, key: str, text: str, close: DataFrame) -> DataFrame:
-    """(node, root) over fingerprints linked by ``close`` (a, b) or by texts whose sets reach the threshold.
+def link(texts: DataFrame, sets_of: Callable[[DataFrame], DataFrame], unpack: Unpack, close: DataFrame | None = None) -> DataFrame:
+    """(node, root) over the nodes that have a link: by ``close`` (a, b), or by texts whose sets reach the threshold.
 
-    ``prints`` has doc_id, text_hash, fp, size and keys of every row of ``docs``.
+    ``texts`` has rows (id, node, weight, keys) of distinct texts, which may repeat: the node (texts of one node are linked
+    anyhow), the number of shingles and the band keys; a text without keys has no links. ``sets_of`` gives (id, payload)
+    of the texts whose id it is handed, and ``unpack`` reads payloads. An empty table gives an empty one.
     """
-    texts = prints.where("size(keys) > 0").groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("keys").alias("keys"))
-    texts = cut(texts.withColumnRenamed("text_hash", "id"), "texts")
     members = candidates(texts)
     pairs = cut(typical_pairs(members), "pairs")
-    wanted = members.select("id").distinct().join(texts.select("id", "doc_id"), "id")
-    sets = shingle_sets(docs, key, text, cut(wanted, "wanted"))
-    roots = cut(connected_components(close.unionAll(verified(pairs, sets))), "roots")
-    buckets = mixed_buckets(members, roots.select(F.col("node").alias("fp"), "root"))
+    sets = cut(sets_of(cut(members.select("id").distinct(), "wanted")), "sets")
+    edges = verified(pairs, sets, unpack)
+    roots = cut(connected_components(edges if close is None else close.unionAll(edges)), "roots")
+    buckets = mixed_buckets(members, roots.select("node", "root"))
     if not buckets.limit(1).count():
         return roots
-    return cut(connected_components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(links_in(buckets, sets))), "roots")
+    return cut(connected_components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(links_in(buckets, sets, unpack))), "roots")

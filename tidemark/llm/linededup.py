@@ -1,8 +1,8 @@
 """Fuzzy line dedup: MinHash signatures of character shingles, banding, exact Jaccard, distributed union-find.
 
 Lines are compared in a normal form. Equal forms are one line before anything is hashed. Lines that share a band of
-their signatures are compared by their shingle sets; of the pairs of a band only a spanning forest's edges leave the
-task. One line of each component stays: the first by document and line number.
+their signatures are compared by their shingle sets (``bands``): each with the band's most typical line, then across what
+is still apart. One line of each component stays: the first by document and line number.
 """
 
 from __future__ import annotations
@@ -15,22 +15,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bands
 from .common import bounded_batches, chunks, cut, record_batch, utf8
-from .graph import connected_components
+from .sieve import matching
 
-#: Similarity from which lines are the same, and characters (bytes) of a shingle.
-JACCARD = 0.8
-SHINGLE_BYTES = 8
+#: Characters (code points) of a shingle. Lines are the same from a similarity of ``bands.JACCARD`` on.
+SHINGLE_CHARACTERS = 5
 #: Bands and rows of a band: a pair at the threshold shares a band with a chance of 0.985, one at 0.9 of 0.9999.
 BANDS = 8
 ROWS = 4
-#: Lines of a band that one task compares; more are compared block by block.
-BUCKET_ROWS = 2048
-#: Candidate lines or keys (numbers) up to which they are broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
 
-#: Odd multipliers: each puts the shingles' 32-bit hashes in another order.
+#: Odd multipliers: each puts the shingles' 32-bit hashes in another order. The last makes a shingle one number.
 _MULTIPLY = (np.random.default_rng(11).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
+_CHAIN = np.uint64(0x9FB21C651E98DF25)
 
 
 def normal_form(line: bytes) -> bytes:
@@ -45,23 +42,27 @@ def _stir(code: np.ndarray) -> np.ndarray:
 
 def shingle_codes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit codes of all shingles of the lines, and each line's first; a shorter line is one shingle, padded."""
-    padded = [x if len(x) >= SHINGLE_BYTES else x + bytes(SHINGLE_BYTES - len(x)) for x in lines]
-    sizes = np.array([len(x) for x in padded], dtype=np.int64)
-    flat = b"".join(padded)
-    # A shingle of eight bytes is one number, read at every byte.
-    code = np.ndarray((max(0, len(flat) - SHINGLE_BYTES + 1),), dtype="<u8", buffer=flat, strides=(1,))
+    texts = [x.decode("utf-8", "surrogateescape") for x in lines]
+    texts = [t if len(t) >= SHINGLE_CHARACTERS else t.ljust(SHINGLE_CHARACTERS, "\0") for t in texts]
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    n = max(0, len(points) - SHINGLE_CHARACTERS + 1)
+    code = points[:n].copy()
+    for i in range(1, SHINGLE_CHARACTERS):
+        code *= _CHAIN
+        code += points[i : n + i]
     ends = np.cumsum(sizes)
-    own = np.ones(len(code), dtype=bool)
-    for back in range(1, SHINGLE_BYTES):  # shingles that would run into the next line
-        own[(ends - back)[ends - back < len(code)]] = False
-    counts = sizes - SHINGLE_BYTES + 1
+    own = np.ones(n, dtype=bool)
+    for back in range(1, SHINGLE_CHARACTERS):  # shingles that would run into the next line
+        own[(ends - back)[ends - back < n]] = False
+    counts = sizes - SHINGLE_CHARACTERS + 1
     return _stir(code[own]), np.cumsum(counts) - counts
 
 
-def band_keys(lines: list[bytes]) -> np.ndarray:
-    """A 64-bit key for each line and band, made of the band's minima and the band's number."""
+def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit key for each line and band, made of the band's minima and the band's number; and the lines' shingles."""
     if not lines:
-        return np.empty((0, BANDS), dtype=np.int64)
+        return np.empty((0, BANDS), dtype=np.int64), np.empty(0, dtype=np.int64)
     codes, starts = shingle_codes(lines)
     low = (codes ^ (codes >> np.uint64(32))).astype(np.uint32)
     keys = np.empty((len(lines), BANDS), dtype=np.uint64)
@@ -72,52 +73,31 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
             least = np.minimum.reduceat(low * _MULTIPLY[i], starts)
             key = _stir((key << np.uint64(7)) ^ least.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         keys[:, band] = key
-    return keys.view(np.int64)
+    return keys.view(np.int64), np.diff(np.append(starts, len(codes)))
 
 
-def shingle_set(line: bytes) -> frozenset:
-    return frozenset([line[i : i + SHINGLE_BYTES] for i in range(len(line) - SHINGLE_BYTES + 1)] or [line])
-
-
-def jaccard(a: frozenset, b: frozenset) -> float:
-    both = len(a & b)
-    return both / (len(a) + len(b) - both)
-
+def unpack_forms(forms: pa.Array) -> list[np.ndarray]:
+    """Each line's sorted distinct shingle codes."""
+    lines = forms.to_pylist()
+    if not lines:
+        return []
+    codes, starts = shingle_codes(lines)
+    return [np.unique(x) for x in np.split(codes, starts[1:])]
 
-def forest(ids: list[int], lines: list[bytes], bounds: tuple[int, int] | None = None) -> Iterator[tuple[int, int]]:
-    """Edges of a spanning forest of the lines linked by the exact Jaccard similarity.
 
-    A line that has been reached is compared with those not reached yet, by sizes that can reach the threshold.
-    """
-    sets = [shingle_set(x) for x in lines]
-    rest = list(range(len(ids)))
-    while rest:
-        frontier = [rest.pop()]
-        while frontier and rest:
-            at = frontier.pop()
-            own, n, far = sets[at], len(sets[at]), []
-            for other in rest:
-                m = len(sets[other])
-                if min(n, m) >= JACCARD * max(n, m) and jaccard(own, sets[other]) >= JACCARD:
-                    frontier.append(other)
-                    yield ids[at], ids[other]
-                else:
-                    far.append(other)
-            rest = far
-
-
-def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(row, doc_id, line, id, keys) of every line with a word: its number, the hash of its normal form, its bands' keys.
+def _lines(docs: DataFrame, key: str, text: str, row: str | None) -> DataFrame:
+    """(row, doc_id, line, id, weight, keys) of every line with a word: its number, the hash of its normal form, its
+    number of shingles, its bands' keys.
 
     The keys come with the first line of a form in a batch; equal forms have equal keys. Every document also has a
     row without line and id. ``row`` tells documents apart that share an id.
     """
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("id", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("id", pa.int64()), ("weight", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nothing = [None] * len(batch)
-            yield record_batch(schema, [batch.column(1), batch.column(0), nothing, nothing, [[]] * len(batch)])
+            yield record_batch(schema, [batch.column(1), batch.column(0), nothing, nothing, nothing, [[]] * len(batch)])
             docs_of, rows_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch, "t")
             for a, b in chunks(texts, 2 << 20):
                 rows, forms = [], {}
@@ -129,7 +109,8 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
                             rows.append((row, doc, n, own))
                 if not rows:
                     continue
-                keys, ids = band_keys(list(forms)), np.array([xxhash.xxh64_intdigest(f) for f in forms], dtype=np.uint64).view(np.int64)
+                keys, weights = band_keys(list(forms))
+                ids = np.array([xxhash.xxh64_intdigest(f) for f in forms], dtype=np.uint64).view(np.int64)
                 first = np.full(len(forms), -1)
                 place = np.array([r[3] for r in rows])
                 first[place[::-1]] = np.arange(len(rows))[::-1]
@@ -137,15 +118,15 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
                 has[first] = True
                 ends = np.concatenate(([0], np.cumsum(np.where(has, BANDS, 0)))).astype(np.int32)
                 flat = keys[place[has]].ravel()
-                yield record_batch(schema, [[r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], pa.array(ids[place]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))])
+                yield record_batch(schema, [[r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], pa.array(ids[place]), pa.array(weights[place]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))])
 
-    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("t"))
-    return narrow.mapInArrow(scan, "row long, doc_id long, line int, id long, keys array<long>")
+    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), (F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col(text).alias("t"))
+    return narrow.mapInArrow(scan, "row long, doc_id long, line int, id long, weight long, keys array<long>")
 
 
-def _texts_of(docs: DataFrame, text: str, wanted: DataFrame, n_wanted: int) -> DataFrame:
-    """(id, form) of the distinct lines in ``wanted`` (column id)."""
-    schema = pa.schema([("id", pa.int64()), ("form", pa.binary())])
+def _forms_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
+    """(id, payload) of the distinct lines in ``wanted`` (column id): their normal forms."""
+    schema = pa.schema([("id", pa.int64()), ("payload", pa.binary())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,88 +136,54 @@ def _texts_of(docs: DataFrame, text: str, wanted: DataFrame, n_wanted: int) -> D
                 ids = np.array([xxhash.xxh64_intdigest(f) for f in forms], dtype=np.uint64).view(np.int64)
                 yield record_batch(schema, [pa.array(ids), forms])
 
-    every = docs.select(F.col(text).alias("t")).mapInArrow(scan, "id long, form binary")
-    return every.join(F.broadcast(wanted) if n_wanted <= BROADCAST_ROWS else wanted, "id", "left_semi").dropDuplicates(["id"])
-
-
-def _edges(members: DataFrame, forms: DataFrame) -> DataFrame:
-    """Links among the lines of each band key of ``members`` (k, id, n), with ``forms`` (id, form).
+    every = docs.select(F.col(text).alias("t")).mapInArrow(scan, "id long, payload binary")
+    return matching(every, F.col("id"), wanted, "id").join(wanted, "id", "left_semi").dropDuplicates(["id"])
 
-    A key of many lines is dealt to blocks of at most BUCKET_ROWS; each pair of blocks is a bucket of its own. Lines
-    that share several bands make equal buckets; of these one is compared.
-    """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    blocks = F.ceil(F.col("n") / BUCKET_ROWS * 2).cast("int")
-    block = F.when(F.col("n") <= BUCKET_ROWS, F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    placed = members.withColumn("block", block).withColumn("blocks", F.when(F.col("n") <= BUCKET_ROWS, F.lit(1)).otherwise(blocks))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least("block", other).alias("x"), F.greatest("block", other).alias("y")))
-    dealt = placed.select("k", "id", F.explode(pairs).alias("p")).select("k", "id", "p.x", "p.y")
-    listed = dealt.groupBy("k", "x", "y").agg(F.sort_array(F.collect_list("id")).alias("ids")).where("size(ids) > 1")
-    once = cut(listed.select("ids").distinct().withColumn("bucket", F.monotonically_increasing_id()), "buckets")
-    rows = once.select("bucket", F.explode("ids").alias("id"))
-    buckets = rows.join(forms, "id").groupBy("bucket").agg(F.collect_list(F.struct("id", "form")).alias("rows"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for rows in batch.column(0):
-                own = rows.as_py()
-                found += forest([r["id"] for r in own], [r["form"] for r in own])
-            if found:
-                yield record_batch(schema, [[e[0] for e in found], [e[1] for e in found]])
 
-    return buckets.select("rows").mapInArrow(compare, "a long, b long")
-
-
-def line_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def line_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
     """(row, doc_id, line, group, first) of every line with a word: its component, and whether it is the one that
-    stays, the first by document id (nulls last), row and line. A document also has a row without line and group.
+    stays, the first by document id (nulls last), row and line. A document also has a row without line and group. ``row``
+    names a column that numbers the rows; without it they are numbered here.
     """
     bounded_batches(docs.sparkSession)
-    lines = cut(_lines(docs, key, text), "lines")
-    keyed = lines.where("size(keys) > 0").select("id", F.explode("keys").alias("k"))
-    # Least and greatest line of each key combine before the shuffle: keys of one line, however often, fall out.
-    shared = cut(keyed.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("k"), "bands")
-    n_shared = shared.count()
-    members = cut(keyed.join(F.broadcast(shared) if n_shared <= BROADCAST_ROWS else shared, "k", "left_semi").distinct(), "members")
-    sizes = members.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    wanted = cut(members.select("id").distinct(), "wanted")
-    n_wanted = wanted.count()
-    if not n_wanted:
-        groups = lines.select("row", "doc_id", "line", F.col("id").alias("group"))
-    else:
-        forms = cut(_texts_of(docs, text, wanted, n_wanted), "forms")
-        roots = cut(connected_components(_edges(members.join(sizes, "k"), forms)), "line-roots")
-        small = F.broadcast(roots) if n_wanted <= BROADCAST_ROWS else roots
-        groups = lines.join(small, lines["id"] == roots["node"], "left").select("row", "doc_id", "line", F.coalesce("root", "id").alias("group"))
+    lines = cut(_lines(docs, key, text, row), "lines")
+    # A form has its keys once a batch; bands take such repeats for one text.
+    texts = lines.where("size(keys) > 0").select("id", F.col("id").alias("node"), "weight", "keys")
+    roots = bands.link(texts, lambda wanted: _forms_of(docs, text, wanted), unpack_forms)
+    groups = lines.join(roots, lines["id"] == roots["node"], "left").select("row", "doc_id", "line", F.coalesce("root", "id").alias("group"))
     place = F.struct(F.col("doc_id").isNull().alias("late"), F.coalesce("doc_id", F.lit(0)).alias("doc"), F.col("row"), F.col("line"))
     firsts = groups.where("group is not null").groupBy("group").agg(F.min(place).alias("place")).select(F.col("place.row").alias("r"), F.col("place.line").alias("n"))
     same = (F.col("row") == F.col("r")) & (F.col("line") == F.col("n"))
     return groups.join(firsts, same, "left").select("row", "doc_id", "line", "group", F.col("r").isNotNull().alias("first"))
 
 
+def _line_lists(groups: DataFrame) -> DataFrame:
+    return groups.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.count("line").alias("n_lines"), F.count(F.when(F.col("first"), 1)).alias("n_kept"),
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("first"), F.col("line")))).cast("array<string>"), ",").alias("kept_lines"),
+    )
+
+
 def line_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_lines, n_kept, kept_lines (numbers of the lines that stay, comma-joined).
 
     Lines are those with a word, numbered from 0 among all; a null, empty or blank text has none (zeros, empty
     string); repeated rows are documents of their own, and of their lines the first row's stay; other columns are
-    not read.
+    not read; an empty table gives an empty one.
     """
-    found = line_groups(docs, key, text).groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.count("line").alias("n_lines"), F.count(F.when(F.col("first"), 1)).alias("n_kept"),
-        F.array_join(F.array_sort(F.collect_list(F.when(F.col("first"), F.col("line")))).cast("array<string>"), ",").alias("kept_lines"),
-    )
-    return found.drop("row")
+    return _line_lists(line_groups(docs, key, text)).drop("row")
 
 
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text) with the lines that stay, in order; lines without words stay. One row per row of ``docs``.
+    """(doc_id, text) with the lines that stay, in order; lines without words stay, a null text becomes an empty one.
 
-    The plan of ``line_table`` decides; ids must tell the documents apart.
+    One row per row of ``docs``: rows are numbered in a table of their own, so repeated ids and rows keep apart; of
+    repeated rows the first keeps its lines.
     """
-    kept = line_table(docs, key, text).select(F.col("doc_id").alias("own"), "kept_lines")
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    numbered = cut(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row")), "numbered")
+    kept = _line_lists(line_groups(numbered, row="row")).select(F.col("row").alias("own"), "kept_lines")
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
     chosen = F.split("kept_lines", ",")
     stays = lambda line, i: ~line.rlike(r"[^\x20\x09-\x0D]") | F.array_contains(chosen, i.cast("string"))
-    joined = docs.join(kept, F.col(key).cast("long").eqNullSafe(F.col("own")))
-    return joined.select(F.col(key).cast("long").alias("doc_id"), F.array_join(F.filter(lines, stays), "\n").alias("text"))
+    joined = numbered.join(kept, F.col("row") == F.col("own"))
+    return joined.select("doc_id", F.array_join(F.filter(lines, stays), "\n").alias("text"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from . import bands
 from .common import bounded_batches, cut, record_batch, utf8, words_of
 from .graph import connected_components
+from .sieve import matching, sifted
 
 #: Fixed by the task: seed of the shingle hash, words in a shingle, bits that linked fingerprints may differ in.
 SEED = 42
@@ -28,8 +29,6 @@ MAX_BITS = 3
 BLOCKS = 5
 #: Up to so many distinct fingerprints a key are compared in one task; more take the path by neighbouring values.
 BUCKET_ROWS = 8192
-#: Rows to be dropped (32 bytes each) up to which their keys are broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
 
 
 def fingerprint(text: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -158,15 +157,8 @@ def group_fingerprints(prints: DataFrame, blocks: int = BLOCKS, bits: int = MAX_
 
     Null ids are passed over by the minimum; a component with null ids only has a null component_id.
     """
-    nodes = cut(_nodes(prints), "fingerprints")
-    return _least_ids(nodes, cut(connected_components(similar_fingerprints(nodes, blocks, bits, bucket_rows)), "roots"))
-
-
-def _nodes(prints: DataFrame) -> DataFrame:
-    return prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_docs"))
-
-
-def _least_ids(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_docs")), "fingerprints")
+    roots = cut(connected_components(similar_fingerprints(nodes, blocks, bits, bucket_rows)), "roots")
     linked = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return linked.join(least, "root").select("fp", "component_id")
@@ -184,30 +176,54 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     return prints.join(groups, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def text_sets(docs: DataFrame, key: str, text: str, chosen: DataFrame) -> DataFrame:
+    """(id, payload): shingle sets of the texts of ``chosen`` (id: hash of the text, doc_id of a row that has it)."""
+    schema = pa.schema([("id", pa.int64()), ("payload", pa.list_(pa.int64()))])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield record_batch(schema, [batch.column(0), [bands.shingle_set(t).view(np.int64) for t in utf8(batch, "t")]])
+
+    narrow = docs.select(F.xxhash64(F.col(text)).alias("h"), F.col(key).cast("long").alias("d"), F.col(text).alias("t"))
+    wanted = chosen.withColumn("row", F.xxhash64("id", "doc_id"))
+    same = (F.col("h") == F.col("id")) & F.col("d").eqNullSafe(F.col("doc_id"))
+    found = matching(narrow, F.xxhash64("h", "d"), wanted, "row").join(wanted, same, "left_semi").select("h", "t")
+    return found.mapInArrow(scan, "id long, payload array<long>").dropDuplicates(["id"])
+
+
+def unpack_sets(payload: pa.Array) -> list[np.ndarray]:
+    return [x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in payload]
+
+
 def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near copies: the least by id (nulls last), then by a hash of the text.
 
     Fingerprints are of five-word shingles and link as in ``simhash_groups``; texts whose sets of such shingles have a
-    similarity of 0.8 or more are linked too, which most often differ in more bits. Columns come back as they were. Of rows that are equal in id and text, one stays.
+    similarity of 0.8 or more are linked too, which most often differ in more bits. Columns come back as they were. Of
+    rows that are equal in id and text, one stays; texts without words are one group; an empty table gives an empty one.
+    Texts are moved only where a row may have to go, by a bitmap of fixed size, whatever the number of rows.
     """
     prints = cut(with_sketches(docs, key, text), "prints")
-    nodes = cut(_nodes(prints), "fingerprints")
-    roots = bands.link_groups(prints, docs, key, text, similar_fingerprints(nodes))
-    groups = cut(_least_ids(nodes, roots), "groups")
-    rows = prints.join(groups.withColumnRenamed("component_id", "cid"), "fp")
-    # A component of null ids only has no id to stand for it: its fingerprints' least value does.
-    rows = rows.withColumn("g", F.struct(F.col("cid"), F.when(F.col("cid").isNull(), F.col("fp"))))
-    members = cut(rows.groupBy("g", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies")), "members")
     order = F.struct(F.col("doc_id").isNull().alias("i"), F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("text_hash").alias("h"))
-    first = members.groupBy("g").agg(F.min(order).alias("f")).select(F.col("g").alias("fg"), "f")
-    judged = members.join(first, F.col("g") == F.col("fg")).select("doc_id", "text_hash", "copies", (order == F.col("f")).alias("is_first"))
-    marked = cut(judged.where("not is_first or copies > 1").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("is_first").alias("__first")), "marked")
+    # The least row of each fingerprint, then of each component: both minima combine before their shuffle.
+    nodes = cut(prints.groupBy("fp").agg(F.min(order).alias("f")), "fingerprints")
+    texts = cut(prints.where("size(keys) > 0").groupBy(F.col("text_hash").alias("id")).agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("node"), F.min("size").alias("weight"), F.min("keys").alias("keys")), "texts")
+    chosen = texts.select("id", "doc_id")
+    sets_of = lambda wanted: text_sets(docs, key, text, cut(matching(chosen, F.col("id"), wanted, "id").join(wanted, "id", "left_semi"), "chosen"))
+    roots = bands.link(texts.drop("doc_id"), sets_of, unpack_sets, similar_fingerprints(nodes))
+    linked = nodes.join(roots, nodes["fp"] == roots["node"], "left").withColumn("g", F.coalesce("root", "fp"))
+    first = linked.groupBy("g").agg(F.min("f").alias("f")).select(F.when(~F.col("f.i"), F.col("f.d")).alias("kd"), F.col("f.h").alias("kh"))
+    rows = cut(prints.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies")), "rows")
+    is_first = F.col("doc_id").eqNullSafe(F.col("kd")) & (F.col("text_hash") == F.col("kh"))
+    judged = rows.join(first, is_first, "left").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "copies", F.col("kh").isNotNull().alias("__first"))
+    # Rows that go; a first row that stands several times goes too, and comes back once.
+    marked = cut(judged.where("not __first or copies > 1").withColumn("__mark", F.xxhash64("__hash", "__id")), "marked")
     same = F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
     packed = docs.select(F.struct("*").alias("__row"), F.col(key).cast("long").alias("__key"), F.xxhash64(F.col(text)).alias("__text"))
-    small = marked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    kept = packed.join(F.broadcast(marked) if small else marked, same, "left_anti").select("__row.*")
-    repeated = marked.where("__first")
-    if repeated.limit(1).count():
-        once = packed.join(repeated, same, "left_semi").dropDuplicates(["__key", "__text"]).select("__row.*")
-        kept = kept.unionAll(once)
+    sieved = sifted(packed, F.xxhash64("__text", "__key"), marked, "__mark")
+    kept = sieved.where("not __may").select("__row.*").unionAll(sieved.where("__may").join(marked, same, "left_anti").select("__row.*"))
+    again = marked.where("__first")
+    if again.limit(1).count():
+        once = matching(packed, F.xxhash64("__text", "__key"), again, "__mark").join(again, same, "left_semi").dropDuplicates(["__key", "__text"])
+        kept = kept.unionAll(once.select("__row.*"))
     return kept
