@@ -457,6 +457,19 @@ def test_mix_repeats_rows_as_often_as_the_table_says(spark):
     assert Counter(r.doc_id for r in out.collect()) == Counter({k: v for k, v in times.items() if v})
 
 
+def test_mix_takes_some_of_many_equal_rows(spark):
+    """The mix ends among rows that are equal in id and text: as many go in as the table says, whatever their columns."""
+    rows = [(None, "one text of five words", "en", "a", i) for i in range(300)] + [(i, f"w{i} x y", "en", "b", 1) for i in range(40)] + [(7, None, None, "a", 0)] * 3
+    docs = frame(spark, rows).repartition(5)
+    taken = sum(r.taken for r in mixing.mix_table(docs).collect())
+    out = mixing.mix(docs).collect()
+    assert sum(len((r.text or "").split()) for r in out) == taken > 0
+    equal = Counter(r.n_chars for r in out if r.doc_id is None)
+    assert 0 < len(equal) and max(equal.values()) - min([*equal.values(), 2]) <= 1
+    assert sum(r.text is None for r in out) == 3
+    assert mixing.mix(spark.createDataFrame([], DDL)).collect() == []
+
+
 def test_weights_stop_at_twice_the_source(spark):
     rows = [(i, "w " * n, "en", s, 1) for i, (n, s) in enumerate([(10, "a")] * 2 + [(10, "b")] * 60 + [(10, "c")] * 40)]
     got = mixing.mix_table(spark.createDataFrame(rows, DDL))

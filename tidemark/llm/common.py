@@ -25,15 +25,23 @@ _scratch: list[tuple[SparkSession, str]] = []
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough that a batch of long documents fits in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Keep Arrow batches small enough that a batch of long documents fits in a Python worker.
+
+    A plan reads the setting when it runs, so it must last until then; a smaller bound that the session has stays.
+    """
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(name, None)
+        if not now or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a folder of our own only where the cluster names none."""
+    """The folder that driver and executors share. Without spark.checkpoint.dir only a local session has one of its own:
+    on a cluster, executors would each write to their own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -53,9 +61,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Delete every table written by ``cut`` so far; results that still read them must have been written."""
-    while _scratch:
+def held() -> int:
+    """How many tables ``cut`` has in the shared folder: a mark for ``release``."""
+    return len(_scratch)
+
+
+def release(since: int = 0, keep_last: bool = False) -> None:
+    """Delete the tables written after the mark ``since``, but the last if ``keep_last``; results that still read them must
+    have been written."""
+    last = _scratch.pop() if keep_last and len(_scratch) > since else None
+    while len(_scratch) > since:
         spark, path = _scratch.pop()
         try:
             if spark.sparkContext._jsc is None:
@@ -64,6 +79,8 @@ def release() -> None:
             target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
         except Exception:  # the session has ended: nothing left to ask
             continue
+    if last:
+        _scratch.append(last)
 
 
 atexit.register(release)

@@ -13,6 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, cut
+from .sharding import with_slots
+
+
+#: Sources up to which their thresholds (a row each) are broadcast to the documents; more are joined by a shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 @dataclass(frozen=True)
@@ -80,7 +85,7 @@ def _queued(measured: DataFrame, targets: DataFrame) -> DataFrame:
     inside = Window.partitionBy("q", "b").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0)
     run = measured.withColumn("run", F.sum("size").over(inside))
     joined = run.join(starts, (F.col("q") == F.col("pq")) & (F.col("b") == F.col("pb")))
-    return joined.withColumn("cum", F.col("start") + F.col("run")).drop("q", "b", "pq", "pb", "start", "run")
+    return joined.withColumn("cum", F.col("start") + F.col("run")).drop("b", "pq", "pb", "start", "run")
 
 
 def _finish(epoch: Column | int) -> Column:
@@ -113,12 +118,12 @@ def _turns_taken(plan: MixPlan, last: tuple[float, int]) -> Column:
 
 
 def _planned(measured: DataFrame, plan: MixPlan) -> tuple[DataFrame, tuple[float, int]]:
-    """The targets, and the last turn taken, from rows without their texts."""
+    """The queue, and the last turn taken, from rows without their texts."""
     skinny = cut(measured.select("id", "source", "q", "size", "h", "b"), "sizes")
     total = skinny.agg(F.sum("size").alias("n")).first()["n"] or 0
     targets = cut(source_targets(skinny, plan).withColumn("all_words", F.lit(total).cast("long")), "targets")
     queue = cut(_queued(skinny, targets), "queue")
-    return queue, targets, _last_taken(queue, plan)
+    return queue, _last_taken(queue, plan)
 
 
 def mix_table(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", plan: MixPlan | None = None) -> DataFrame:
@@ -128,18 +133,51 @@ def mix_table(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     interchangeable; an empty table gives an empty one; reruns agree.
     """
     plan = plan or MixPlan()
-    queue, _, last = _planned(_measured(docs, key, text, source, plan), plan)
+    queue, last = _planned(_measured(docs, key, text, source, plan), plan)
     taken = (F.col("size") * _turns_taken(plan, last)).cast("long")
     return queue.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"))
 
 
+def _thresholds(queue: DataFrame, last: tuple[float, int], plan: MixPlan) -> DataFrame:
+    """One row a source: tq, and for each turn e the last place taken, t<e>, and how many rows are taken there, k<e>.
+
+    A source is taken in the order of its queue, so a place (h, size) says it all; only rows that are equal in id and text
+    share one, and of these some may be taken and others not.
+    """
+    turns = range(plan.epochs)
+    place = F.struct("h", "size")
+    took = queue.withColumn("n", _turns_taken(plan, last)).where("n > 0")
+    ends = took.groupBy(F.col("q").alias("tq")).agg(*[F.max(F.when(F.col("n") > e, place)).alias(f"t{e}") for e in turns])
+    met = took.join(_by_source(ends), F.col("q") == F.col("tq"))
+    return met.groupBy("tq").agg(*[f for e in turns for f in (F.max(f"t{e}").alias(f"t{e}"), F.count(F.when((F.col("n") > e) & (place == F.col(f"t{e}")), 1)).alias(f"k{e}"))])
+
+
+def _by_source(table: DataFrame) -> DataFrame:
+    table = cut(table, "sources")
+    return F.broadcast(table) if table.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else table
+
+
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", plan: MixPlan | None = None) -> DataFrame:
     """The mixed corpus: rows of ``docs`` as often as the mix takes them, with the columns of ``docs``.
 
-    A document of no words is no loss to any target and stays once.
+    A document of no words is no loss to any target and stays once; of rows that are equal in id and text as many are
+    taken as ``mix_table`` says; a null source is a source; an empty table gives an empty one. Documents are not moved: a
+    row's place in its source's queue is compared with the places where the mix ends. Only rows at those very places are
+    numbered, in a table of their own.
     """
     plan = plan or MixPlan()
-    _, targets, last = _planned(_measured(docs, key, text, source, plan), plan)
-    fat = _queued(_measured(docs, key, text, source, plan, F.struct("*")), targets)
-    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(_turns_taken(plan, last))
-    return fat.withColumn("n", times).where("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
+    measured = _measured(docs, key, text, source, plan, F.struct("*"))
+    queue, last = _planned(measured, plan)
+    turns, place = range(plan.epochs), F.struct("h", "size")
+    placed = measured.join(_by_source(_thresholds(queue, last, plan)), F.col("q") == F.col("tq"), "left").withColumn("place", place)
+    at_end = F.lit(False)
+    for e in turns:
+        at_end = at_end | F.coalesce(F.col("place") == F.col(f"t{e}"), F.lit(False))
+    before = [F.coalesce((F.col("place") < F.col(f"t{e}")).cast("int"), F.lit(0)) for e in turns]
+    inside = placed.where(~at_end).withColumn("n", F.when(F.col("size") == 0, F.lit(1)).otherwise(sum(before[1:], before[0])))
+    edge = cut(placed.where(at_end).withColumn("order", F.monotonically_increasing_id()), "edge")
+    counted = with_slots(edge.withColumn("group", F.concat("q", F.lit("/"), "h")), "group", ["order"])
+    here = [F.when(F.coalesce(F.col("place") == F.col(f"t{e}"), F.lit(False)), (F.col("slot") < F.col(f"k{e}")).cast("int")).otherwise(before[e]) for e in turns]
+    edges = counted.withColumn("n", sum(here[1:], here[0]))
+    both = inside.select("row", "n").unionAll(edges.select("row", "n"))
+    return both.where("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")

@@ -43,7 +43,7 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 _SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ODD = _SPACES + " "
 #: Text (bytes) that is encoded at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 
 
 def byte_letters() -> dict[int, int]:
@@ -89,12 +89,11 @@ class PieceEncoder:
 
     def _ids(self, known: dict[str, bytes], parts: list[str], blank: str) -> list[bytes]:
         """Ids of distinct parts, remembered as far as there is room."""
-        out = [known.get(p) for p in parts]
-        for i, ids in enumerate(out):
-            if ids is None:
-                out[i] = self.part(blank + parts[i])
-                if len(known) < MEMORY_PIECES:
-                    known[parts[i]] = out[i]
+        out = list(map(known.get, parts))
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            out[i] = self.part(blank + parts[i])
+            if len(known) < MEMORY_PIECES:
+                known[parts[i]] = out[i]
         return out
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,8 +135,11 @@ class PieceEncoder:
         sizes = lengths[order]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        shift = (np.cumsum(lengths) - lengths)[order] - (ends - sizes)
-        ids = np.frombuffer(b"".join(entries), dtype="<u4")[np.repeat(shift, sizes) + np.arange(total)]
+        # Where each entry's ids lie, for each id: a chunk's numbers fit 32 bits unless one text is very long.
+        kind = np.int32 if max(total, int(lengths.sum())) < 1 << 31 else np.int64
+        at = np.repeat(((np.cumsum(lengths) - lengths)[order] - (ends - sizes)).astype(kind), sizes)
+        at += np.arange(total, dtype=kind)
+        ids = np.frombuffer(b"".join(entries), dtype="<u4")[at]
         return ids, np.add.reduceat(sizes, begins) if n else np.empty(0, np.int64)
 
 
