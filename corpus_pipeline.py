@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontam, langid, mixing, sharding, simhash
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, held, release
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +18,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group."""
+    """One document of each group of near copies: by SimHash, and by the similarity of five-word shingles."""
     return simhash.keep_one_per_group(docs)
 
 
@@ -45,12 +45,14 @@ STAGES = [
     ("jump_sharding", shard),
 ]
 
-#: No SQL: the language models and the SimHash of 64-bit XXH64 values are beyond it; tests compare with brute force.
+#: No SQL: the language models and the near copies are beyond it; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
+        mark = held()
         docs = cut(stage(spark, docs, sf_dir), name)
+        release(mark, keep_last=True)  # what the stage wrote on its way
     return docs
