@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -37,6 +38,11 @@ def timestamp_from_nanos(value: Column) -> Column:
     return F.timestamp_micros(micros_from_nanos(value))
 
 
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that it names often but that is computed once."""
+    return F.transform(F.array(value), f)[0]
+
+
 def _filled(value: Column, digits: int) -> Column:
     """Hexadecimal digits of two's-complement bytes, filled by their sign to ``digits``."""
     given = F.hex(value)
@@ -72,12 +78,12 @@ def _shifted(whole: Column, scale: Column) -> Column:
 
 def decimal_from_bytes(value: Column, precision: int = 38, scale: int = 0) -> Column:
     """Decimal of big-endian two's-complement bytes, read as hexadecimal numbers; null beyond the precision."""
-    return _shifted(_whole(value), F.lit(scale)).try_cast(T.DecimalType(precision, scale))
+    return _once(_whole(value), lambda whole: _shifted(whole, F.lit(scale)).try_cast(T.DecimalType(precision, scale)))
 
 
 def text_from_variable_decimal(value: Column) -> Column:
     """Plain text of a struct of scale and unscaled bytes; null beyond 38 digits."""
-    return _shifted(_whole(value["value"]), value["scale"].cast("int"))
+    return _once(_whole(value["value"]), lambda whole: _shifted(whole, value["scale"].cast("int")))
 
 
 #: Logical type name -> conversion of its raw value.

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.cdc import DELETE, INSERT, UPDATE, flat_operation, operation, payload
 from ..functions.logical import convert_block
-from ..schema import from_record_schema, payload_schema, raw_schema
+from ..schema import from_record_schema, nullable, payload_schema, raw_schema
 
 META = ("topic", "partition", "offset")
 CORRUPT = "_corrupt"
@@ -164,7 +164,7 @@ class BlockConverter:
         raw = raw_schema(self.block)
         typed = parse(records, raw)
         whole = from_record_schema(self.block)
-        values = F.when(F.col("value").isNotNull(), convert_block(self.block, F.col("value"))).cast(whole)
+        values = F.when(F.col("value").isNotNull(), convert_block(self.block, F.col("value"))).cast(nullable(whole))
         typed = typed.withColumn("value", values)
         return converter(whole, self.mode, self.envelope, self.delete_enabled).convert(typed)
 

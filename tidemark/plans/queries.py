@@ -1,16 +1,12 @@
 """Each operator as a query over the test tables, and the same in SQL.
 
 The change feed is derived from ``events``: every key occurs twice, often with different operations, so that the last
-writer matters.
+writer matters. Queries of tables and their log, of types and schemas, and of the sink are in modules of their own.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,51 +14,19 @@ from .. import schema as schemas
 from ..functions import cdc, logical, names
 from ..log.snapshot import replay
 from ..operators import dedup, merge, stats
-from ..operators.prune import disjoint
+from ..operators.prune import bounds_of, prune
 from ..operators.records import EnvelopeConverter, FlattenedConverter, PlainConverter
 from ..sources.parquet import scan
-from ..table import Table
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def keep(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return keep
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _orders(spark, sf_dir):
-    return _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-
-
-def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(o_orderkey, o_totalprice, o_orderstatus, _op, _seq)."""
-    e = _table(spark, sf_dir, "events")
-    n = F.col("event_id") % 7
-    op = F.when(n == 0, cdc.DELETE).when(n <= 3, cdc.UPDATE).otherwise(cdc.INSERT)
-    return e.select((F.floor(F.col("event_id") / 2) * 4).alias("o_orderkey"), F.col("value").alias("o_totalprice"), F.upper(F.left("event_type", F.lit(1))).alias("o_orderstatus"), op.alias("_op"), F.col("event_id").alias("_seq"))
+from .registry import CHG, MERGED, QUERIES, SQL, SRC, changes, query
+from .registry import orders as _orders
+from .registry import scratch_table as _scratch_table
+from .registry import table as _table
 
 
 def latest(spark, sf_dir):
     return dedup.last_writer(changes(spark, sf_dir), ["o_orderkey"], ["_seq"]).drop("_seq")
 
 
-CHG = "chg AS (SELECT (event_id // 2) * 4 AS o_orderkey, value AS o_totalprice, upper(left(event_type, 1)) AS o_orderstatus, CASE WHEN event_id % 7 = 0 THEN 'DELETE' WHEN event_id % 7 <= 3 THEN 'UPDATE' ELSE 'INSERT' END AS _op, event_id AS _seq FROM events)"
-SRC = CHG + ", src AS (SELECT * FROM chg QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY _seq DESC) = 1), tgt AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders)"
-MERGED = "SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, CASE WHEN s._op IS NULL THEN t.o_totalprice ELSE s.o_totalprice END AS o_totalprice, CASE WHEN s._op IS NULL THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus FROM tgt t FULL JOIN src s ON t.o_orderkey = s.o_orderkey WHERE s._op IS NULL OR s._op <> 'DELETE'"
-
-
 @query("SELECT * FROM region")
 def q_scan_full(spark, sf_dir):
     return scan(spark, f"{sf_dir}/region.parquet")
@@ -75,11 +39,6 @@ def q_scan_project(spark, sf_dir):
     return scan(spark, f"{sf_dir}/nation.parquet", wanted)
 
 
-def _scratch_table(spark: SparkSession) -> Table:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    return Table(spark, f"{root.rstrip('/')}/tidemark-tables/{uuid.uuid4().hex}")
-
-
 @query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def q_table_scan(spark, sf_dir):
     table, orders = _scratch_table(spark), _orders(spark, sf_dir)
@@ -99,8 +58,10 @@ def q_table_merge(spark, sf_dir):
 
 @query(f"WITH {CHG} SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_totalprice, o_orderstatus FROM chg WHERE _op = 'INSERT'")
 def q_append(spark, sf_dir):
-    fresh = changes(spark, sf_dir).where(F.col("_op") == cdc.INSERT).drop("_op", "_seq")
-    return _orders(spark, sf_dir).unionByName(fresh)
+    table = _scratch_table(spark)
+    table.append(_orders(spark, sf_dir))
+    table.append(changes(spark, sf_dir).where(F.col("_op") == cdc.INSERT).drop("_op", "_seq"))
+    return table.read()
 
 
 @query("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, CAST(NULL AS DOUBLE) AS c_score FROM customer")
@@ -217,10 +178,13 @@ def q_merge_metrics(spark, sf_dir):
 
 @query(f"WITH {SRC}, f AS (SELECT o_orderkey // 1000 AS bucket, min(o_orderkey) AS low, max(o_orderkey) AS high FROM tgt GROUP BY 1), b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM src WHERE o_orderkey BETWEEN 500 AND 900) SELECT bucket, low, high FROM f, b WHERE NOT (high < lo OR low > hi)")
 def q_prune_files(spark, sf_dir):
-    files = _orders(spark, sf_dir).groupBy(F.floor(F.col("o_orderkey") / 1000).alias("bucket")).agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
-    edge = merge.key_bounds(latest(spark, sf_dir).where("o_orderkey BETWEEN 500 AND 900"), ["o_orderkey"])
-    apart = disjoint(F.col("low"), F.col("high"), F.col("min_o_orderkey"), F.col("max_o_orderkey"))
-    return files.crossJoin(F.broadcast(edge)).where(~apart).select("bucket", "low", "high")  # the bounds are one row
+    """File skipping on the statistics themselves."""
+    own = _orders(spark, sf_dir).withColumn("bucket", F.floor(F.col("o_orderkey") / 1000))
+    files = stats.file_stats(own, [F.col("bucket")])
+    _, bounds = bounds_of(latest(spark, sf_dir).where("o_orderkey BETWEEN 500 AND 900"), ["o_orderkey"])
+    kept = prune(files, bounds, own.schema)
+    part = lambda side: F.get_json_object("stats", f"$.{side}.o_orderkey").cast("long")
+    return kept.select("bucket", part("minValues").alias("low"), part("maxValues").alias("high"))
 
 
 @query(f"WITH {SRC} SELECT min(o_orderkey) AS min_o_orderkey, max(o_orderkey) AS max_o_orderkey, count(*) FILTER (o_orderkey IS NULL) AS nulls_o_orderkey FROM src")
@@ -309,3 +273,8 @@ def q_schema_evolve(spark, sf_dir):
     old = c.select("c_custkey", "c_nationkey", "c_acctbal")
     new = c.where("c_custkey % 2 = 0").select((F.col("c_custkey") + 1000000).alias("c_custkey"), F.col("c_nationkey").cast("long").alias("c_nationkey"), F.col("c_name").alias("email"))
     return schemas.union_evolved(old, new)
+
+
+from . import sink_queries, table_queries, type_queries  # noqa: E402, F401  (they register themselves)
+
+__all__ = ["QUERIES", "SQL", "DataFrame"]

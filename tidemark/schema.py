@@ -45,6 +45,15 @@ def from_json(text: str) -> T.StructType:
     return T.StructType.fromJson(with_metadata(parsed))
 
 
+def nullable(kind: T.DataType) -> T.DataType:
+    """A type whose fields may all be null, in depth: files promise no more, whatever an expression knows of its nulls."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True, f.metadata) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType), True)
+    return T.MapType(kind.keyType, nullable(kind.valueType), True) if isinstance(kind, T.MapType) else kind
+
+
 _WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 
 

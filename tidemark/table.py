@@ -131,7 +131,7 @@ class Table:
 
     def append(self, df: DataFrame, extra: Sequence[Action] = (), evolution: bool = True) -> int:
         """Append rows, growing the schema if allowed; ``extra`` actions go into the same commit."""
-        at, grown, schema = self._settled(_nullable(df.schema), evolution)
+        at, grown, schema = self._settled(schemas.nullable(df.schema), evolution)
         adds, _ = self.write_files(schemas.project(df, schema))
         txn = self.start(at).add(*([grown] if grown else []), *adds, *extra)
         return txn.commit("WRITE", {"mode": "Append"}) if txn.actions else at.version
@@ -189,7 +189,7 @@ class Table:
 
     def merge(self, source: DataFrame, keys: Sequence[str], extra: Sequence[Action] = (), evolution: bool = True) -> MergeResult:
         """MERGE and commit; ``extra`` actions go into the same commit."""
-        incoming = _nullable(T.StructType([f for f in source.schema.fields if f.name not in (merging.OP, "_seq")]))
+        incoming = schemas.nullable(T.StructType([f for f in source.schema.fields if f.name not in (merging.OP, "_seq")]))
         at, grown, schema = self._settled(incoming, evolution)
         result = self.plan_merge(source, keys, at, schema)
         txn = self.start(at).add(*([grown] if grown else []), *result.actions, *extra)
@@ -200,7 +200,3 @@ class Table:
 def _tail(path: str) -> tuple[str, ...]:
     """Folder and name of a file, which tell the files of a table apart however its root is spelt."""
     return tuple(path.rsplit("/", 2)[-2:])
-
-
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
