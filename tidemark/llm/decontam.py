@@ -13,206 +13,256 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, cut, record_batch, utf8
+from .common import bounded_batches, cut, record_batch, text_chunks
 
 #: Fixed by the task: words of a window, and of a shingle.
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 5
-#: Benchmark text (bytes) that one broadcast index may hold; more makes more blocks, each met by all documents.
-BLOCK_BYTES = 32 << 20
+#: Benchmark text (bytes) that one broadcast index may hold; more makes more blocks, each met by all documents. Measured
+#: with items of words of their own, an index takes some 90 times its text while it is built, and 20 times afterwards.
+BLOCK_BYTES = 4 << 20
+#: Text (bytes) that is searched at once, and windows that are compared at once.
+CHUNK_BYTES = 4 << 20
+COMPARED = 1 << 18
 #: Fixed by the task: A-Z lowered; ASCII digits, letters and all bytes from 0x80 make words; the rest separates.
 NORMALISE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(NORMALISE).split()
+_TABLE = np.frombuffer(NORMALISE, dtype=np.uint8)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(all words of the texts, number of words of each); a null text has none."""
+    own = pa.concat_arrays([pc.fill_null(texts, "")])
+    _, offsets, data = own.buffers()
+    # The rule maps bytes to bytes, so a column's bytes are mapped at once.
+    mapped = _TABLE[np.frombuffer(data, dtype=np.uint8)] if data else np.empty(0, np.uint8)
+    lists = pc.ascii_split_whitespace(pa.StringArray.from_buffers(len(own), offsets, pa.py_buffer(mapped), offset=own.offset))
+    words, sizes = pc.list_flatten(lists), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    full = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    before = np.concatenate(([0], np.cumsum(full)))
+    ends = np.cumsum(sizes)
+    return words.filter(pa.array(full)), before[ends] - before[ends - sizes]
+
+
+def mixed_rows(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit code for each row of word identifiers. Equal rows have equal codes."""
+    code = np.zeros(len(rows), dtype=np.uint64)
+    for column in rows.T:
+        code = (code ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        code ^= code >> np.uint64(29)
+    return code
 
 
 @dataclass
 class BenchmarkIndex:
-    """Windows of one block of benchmark items, by the identifiers of its words.
+    """Windows of one block of benchmark items, by the identifiers of its words, in arrays.
 
-    ``shingles`` maps a tuple of word identifiers to a shingle number; ``windows`` has for each distinct window its
-    words, and the numbers and places of its shingles; ``owners`` its items.
+    A window is a row of ``windows`` (padded with -1) and has ``spans`` words; its shingles' numbers, by place, are a row
+    of ``parts`` (padded with the number of shingles). ``codes`` has for each width of shingles their sorted codes, and
+    the first one's number. ``owners`` lists the items of window w from ``owner_start[w]`` on.
     """
 
-    words: dict[bytes, int]
-    shingles: dict[tuple[int, ...], int]
-    windows: list[tuple[int, ...]]
-    parts: list[list[tuple[int, int]]]
-    owners: list[set[int]]
-    widths: list[int]
-
-    def __post_init__(self) -> None:
-        self._prepare()
-
-    def _prepare(self) -> None:
-        """Sorted 64-bit codes of the shingles of each width, for lookups of whole batches."""
-        self.codes = {}
-        for width in self.widths:
-            items = [(s, n) for s, n in self.shingles.items() if len(s) == width]
-            code = mixed(np.array([s for s, _ in items], dtype=np.int64).T) if items else np.empty(0, np.uint64)
-            order = np.argsort(code, kind="stable")
-            self.codes[width] = (code[order], np.array([n for _, n in items], dtype=np.int64)[order])
-
-
-def mixed(columns: np.ndarray) -> np.ndarray:
-    """A 64-bit code for each row of word identifiers, given by columns. Equal rows have equal codes."""
-    code = np.zeros(columns.shape[1:], dtype=np.uint64)
-    for column in columns:
-        code = (code ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        code ^= code >> np.uint64(29)
-    return code
+    words: pa.Array
+    items: list[str]
+    windows: np.ndarray
+    spans: np.ndarray
+    parts: np.ndarray
+    codes: dict[int, tuple[np.ndarray, int]]
+    owner_start: np.ndarray
+    owners: np.ndarray
 
+    def shingles(self) -> int:
+        return sum(len(code) for code, _ in self.codes.values())
 
-def build_index(items: list[tuple[object, bytes | None]], window: int = WINDOW_WORDS, shingle: int = SHINGLE_WORDS) -> BenchmarkIndex:
+
+def build_index(items: list[tuple[object, str | None]], window: int = WINDOW_WORDS, shingle: int = SHINGLE_WORDS) -> BenchmarkIndex:
     """The index of a block of (item_id, text); an item without words has no window, a null item_id is 'null'."""
-    words: dict[bytes, int] = {}
-    shingles: dict[tuple[int, ...], int] = {}
-    places: dict[tuple[int, ...], int] = {}
-    windows: list[tuple[int, ...]] = []
-    owners: list[set] = []
-    for item, text in items:
-        ids = [words.setdefault(w, len(words)) for w in words_of(text)]
-        span = min(window, len(ids))
-        for start in range(len(ids) - span + 1) if ids else ():
-            own = tuple(ids[start : start + span])
-            n = places.setdefault(own, len(windows))
-            if n == len(windows):
-                windows.append(own)
-                owners.append(set())
-            owners[n].add(item)
-    parts = []
-    for own in windows:
-        width = min(shingle, len(own))
-        parts.append([(shingles.setdefault(own[i : i + width], len(shingles)), i) for i in range(len(own) - width + 1)])
-    return BenchmarkIndex(words, shingles, windows, parts, owners, sorted({len(s) for s in shingles}))
-
-
-def shingle_places(ids: np.ndarray, index: BenchmarkIndex) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and numbers of the benchmark's shingles among a document's word identifiers (-1: no such word)."""
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    known = ids >= 0
-    for width in index.widths:
-        if len(ids) < width:
-            continue
-        run = known[: len(ids) - width + 1].copy()
-        for i in range(1, width):
-            run &= known[i : len(ids) - width + 1 + i]
-        at = np.flatnonzero(run)
-        if not len(at):
-            continue
-        code, number = index.codes[width]
-        own = mixed(np.stack([ids[at + i] for i in range(width)]))
-        slot = np.minimum(np.searchsorted(code, own), len(code) - 1)
-        hit = code[slot] == own
-        found.append((at[hit], number[slot[hit]]))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate([a for a, _ in found]), np.concatenate([n for _, n in found])
-
-
-def rarest(index: BenchmarkIndex, seen: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-    """For each shingle that is some window's necessary prefix: the windows and its place in them.
-
-    Order of shingles: corpus count, then number. A window with a shingle that the corpus lacks occurs nowhere.
-    """
-    prefix: dict[int, list[tuple[int, int]]] = {}
-    for n, parts in enumerate(index.parts):
-        shingle, place = min(parts, key=lambda p: (seen[p[0]], p))
-        if seen[shingle]:
-            prefix.setdefault(shingle, []).append((n, place))
-    return prefix
-
-
-def find_hits(ids: np.ndarray, index: BenchmarkIndex, prefix: dict[int, list[tuple[int, int]]], is_prefix: np.ndarray) -> tuple[list[tuple[int, int]], set]:
-    """Occurrences (start, end) of windows in a document, and the items that own them."""
-    at, number = shingle_places(ids, index)
-    chosen = is_prefix[number] if len(number) else np.empty(0, bool)
-    spans, items = [], set()
-    for position, shingle in zip(at[chosen].tolist(), number[chosen].tolist(), strict=True):
-        for n, place in prefix[shingle]:
-            start = position - place
-            own = index.windows[n]
-            if start < 0 or start + len(own) > len(ids):  # position and length bounds
-                continue
-            if tuple(ids[start : start + len(own)].tolist()) == own:  # the window itself
-                spans.append((start, start + len(own)))
-                items |= index.owners[n]
-    return spans, items
+    every, sizes = words_of(pa.array([t for _, t in items], pa.string()))
+    coded = every.dictionary_encode()
+    ids = coded.indices.to_numpy().astype(np.int32)
+    ends = np.cumsum(sizes)
+    spans = np.minimum(sizes, window)
+    counts = np.where(sizes > 0, sizes - spans + 1, 0)
+    owner = np.repeat(np.arange(len(items)), counts)
+    start = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(ends - sizes, counts)
+    span = np.repeat(spans, counts)
+    places = np.arange(window)
+    rows = np.where(places < span[:, None], np.append(ids, np.full(window, -1, np.int32))[start[:, None] + places], -1).astype(np.int32)
+    rows, same = np.unique(rows, axis=0, return_inverse=True) if len(rows) else (rows, np.empty(0, np.int64))
+    span = (rows >= 0).sum(axis=1)
+    pairs = np.unique(np.stack((same.ravel(), owner), axis=1), axis=0) if len(owner) else np.empty((0, 2), np.int64)
+    # Shingles by width: five words, or all of a shorter window.
+    widths = np.minimum(span, shingle)
+    most = max(1, window - shingle + 1)
+    parts, codes, first = np.full((len(rows), most), -1, dtype=np.int64), {}, 0
+    for width in sorted(set(widths.tolist())):
+        at = np.flatnonzero(widths == width)
+        own = np.stack([mixed_rows(rows[at, i : i + width]) for i in range(most if width == shingle else 1)], axis=1)
+        valid = np.arange(own.shape[1]) < (span[at] - width + 1)[:, None]
+        code, number = np.unique(own[valid], return_inverse=True)
+        filled = np.full(own.shape, -1, dtype=np.int64)
+        filled[valid] = number + first
+        parts[at, : own.shape[1]] = filled
+        codes[width] = (code, first)
+        first += len(code)
+    parts[parts < 0] = first
+    return BenchmarkIndex(coded.dictionary, ["null" if i is None else str(i) for i, _ in items], rows, span.astype(np.int32), parts, codes, np.searchsorted(pairs[:, 0], np.arange(len(rows) + 1)), pairs[:, 1].astype(np.int64))
 
 
-def _identifiers(text: bytes | None, vocabulary: dict[bytes, int]) -> np.ndarray:
-    get = vocabulary.get
-    return np.array([get(w, -1) for w in words_of(text)], dtype=np.int64)
+@dataclass
+class Passage:
+    """Words of some texts as identifiers (-1: not in the benchmark), with a -1 after each text; starts and sizes."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def read(cls, texts: pa.Array, index: BenchmarkIndex) -> Passage:
+        words, sizes = words_of(texts)
+        coded = words.dictionary_encode()
+        known = pc.index_in(coded.dictionary, value_set=index.words).fill_null(-1).to_numpy().astype(np.int32)
+        stops = np.cumsum(sizes + 1) - 1
+        ids = np.full(int(sizes.sum()) + len(sizes), -1, dtype=np.int32)
+        inner = np.ones(len(ids), dtype=bool)
+        inner[stops] = False
+        ids[inner] = known[coded.indices.to_numpy()]
+        return cls(ids, stops - sizes, sizes)
+
+    def shingles(self, index: BenchmarkIndex) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and numbers of the benchmark's shingles."""
+        found = []
+        unknown = np.concatenate(([0], np.cumsum(self.ids < 0)))
+        for width, (code, first) in index.codes.items():
+            n = len(self.ids) - width + 1
+            if n < 1 or not len(code):
+                continue
+            at = np.flatnonzero(unknown[width:] == unknown[:-width])
+            own = mixed_rows(self.ids[at[:, None] + np.arange(width)])
+            slot = np.minimum(np.searchsorted(code, own), len(code) - 1)
+            hit = code[slot] == own
+            found.append((at[hit], slot[hit] + first))
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.concatenate([a for a, _ in found]), np.concatenate([n for _, n in found])
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[object, bytes | None]]]:
-    """The benchmark, one block of bounded size at a time on the driver, in order of size prefix sums."""
-    own = benchmark.select(F.col(item).alias("item"), F.col(text).cast("binary").alias("text"))
+@dataclass
+class Prefixes:
+    """For each shingle that is some window's necessary prefix: its windows and its place in them, from ``start[s]`` on."""
+
+    start: np.ndarray
+    windows: np.ndarray
+    places: np.ndarray
+
+
+def rarest(index: BenchmarkIndex, seen: np.ndarray) -> Prefixes:
+    """Order of shingles: corpus count, then number. A window with a shingle that the corpus lacks occurs nowhere."""
+    n = index.shingles()
+    rank = np.empty(n + 1, dtype=np.int64)
+    rank[np.lexsort((np.arange(n), seen))] = np.arange(n)
+    rank[n] = n  # where a shorter window has no shingle
+    place = rank[index.parts].argmin(axis=1)
+    shingle = index.parts[np.arange(len(place)), place]
+    windows = np.flatnonzero(seen[np.minimum(shingle, n - 1)] > 0) if n else np.empty(0, np.int64)
+    windows = windows[np.argsort(shingle[windows], kind="stable")]
+    return Prefixes(np.searchsorted(shingle[windows], np.arange(n + 2)), windows, place[windows])
+
+
+def find_hits(passage: Passage, index: BenchmarkIndex, prefix: Prefixes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and windows of all occurrences of windows in a passage."""
+    at, number = passage.shingles(index)
+    counts = prefix.start[number + 1] - prefix.start[number]
+    at, number, counts = at[counts > 0], number[counts > 0], counts[counts > 0]
+    starts, windows = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    ends = np.cumsum(counts)
+    a = 0
+    while a < len(at):  # candidates, a bounded number at a time, unless one shingle has more windows
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + COMPARED, side="right")))
+        n = counts[a:b]
+        slot = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(prefix.start[number[a:b]], n)
+        window = prefix.windows[slot]
+        start = np.repeat(at[a:b], n) - prefix.places[slot]
+        span = index.spans[window]
+        fits = (start >= 0) & (start + span <= len(passage.ids))  # position and length bounds
+        start, window, span = start[fits], window[fits], span[fits]
+        same = np.ones(len(start), dtype=bool)
+        for i in range(index.windows.shape[1]):  # the window itself; a text's end is no word
+            inside = i < span
+            same &= ~inside | (passage.ids[np.where(inside, start + i, 0)] == index.windows[window, i])
+        starts.append(start[same])
+        windows.append(window[same])
+        a = b
+    return np.concatenate(starts), np.concatenate(windows)
+
+
+def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[object, str | None]]]:
+    """The benchmark, one block of bounded size at a time on the driver."""
+    own = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"))
     block, size = [], 0
     for row in own.toLocalIterator(prefetchPartitions=False):
-        if block and size + len(row["text"] or b"") > block_bytes:
+        more = len((row["text"] or "").encode())
+        if block and size + more > block_bytes:
             yield block
             block, size = [], 0
-        block.append((row["item"], bytes(row["text"]) if row["text"] is not None else None))
-        size += len(row["text"] or b"")
+        block.append((row["item"], row["text"]))
+        size += more
     yield block
 
 
-def _corpus_counts(docs: DataFrame, text: str, shared) -> np.ndarray:
-    """How often each shingle of the index stands in the corpus: counted in every task, then added up."""
+def _corpus_counts(docs: DataFrame, text: str, shared, n: int) -> np.ndarray:
+    """How often each of the index's n shingles stands in the corpus: counted in every task, then added up."""
     schema = pa.schema([("s", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: BenchmarkIndex = shared.value[0]
-        total = np.zeros(len(index.shingles) + 1, dtype=np.int64)
+        index: BenchmarkIndex = shared.value
+        total = np.zeros(n, dtype=np.int64)
         for batch in batches:
-            for t in utf8(batch, "t"):
-                _, number = shingle_places(_identifiers(t, index.words), index)
-                if len(number):
-                    total += np.bincount(number, minlength=len(total))
+            for _, texts in text_chunks(batch, "t", CHUNK_BYTES):
+                total += np.bincount(Passage.read(texts, index).shingles(index)[1], minlength=n)
         found = np.flatnonzero(total)
         yield record_batch(schema, [pa.array(found), pa.array(total[found])])
 
-    n = len(shared.value[0].shingles)
+    added = docs.select(F.col(text).alias("t")).mapInArrow(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).toArrow()  # bounded by the block's shingles
     seen = np.zeros(n, dtype=np.int64)
-    for s, c in docs.select(F.col(text).alias("t")).mapInArrow(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).collect():  # bounded by the block's shingles
-        seen[s] = c
+    seen[added.column(0).to_numpy()] = added.column(1).to_numpy()
     return seen
 
 
 def _prepared(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, block_bytes: int) -> list:
-    """One broadcast (index, prefix, is_prefix) per block of the benchmark."""
+    """One broadcast (index, prefixes) per block of the benchmark."""
     bounded_batches(docs.sparkSession)
     context, ready = docs.sparkSession.sparkContext, []
     for block in _blocks(benchmark, item, item_text, block_bytes):
         index = build_index(block)
-        shared = context.broadcast((index,))
-        prefix = rarest(index, _corpus_counts(docs, text, shared))
+        shared = context.broadcast(index)
+        prefix = rarest(index, _corpus_counts(docs, text, shared, index.shingles()))
         shared.unpersist()
-        is_prefix = np.zeros(len(index.shingles) + 1, dtype=bool)
-        is_prefix[list(prefix)] = True
-        ready.append(context.broadcast((index, prefix, is_prefix)))
+        ready.append(context.broadcast((index, prefix)))
     return ready
 
 
-def _covered(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans united: sorted, disjoint, not touching."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(set(spans)):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def _stretches(passage: Passage, index: BenchmarkIndex, starts: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends, in the passage, of the stretches that the occurrences cover; those that touch are one."""
+    change = np.zeros(len(passage.ids) + 1, dtype=np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + index.spans[windows], -1)
+    inside = np.concatenate(([False], np.cumsum(change)[:-1] > 0, [False]))
+    return np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
 
 
-def _spell(items: set) -> list[str]:
-    return sorted("null" if x is None else str(x) for x in items)
+def _spelt(document: np.ndarray, windows: np.ndarray, index: BenchmarkIndex, n: int) -> list[list[str]]:
+    """The items of each of n documents, as sorted strings."""
+    counts = index.owner_start[windows + 1] - index.owner_start[windows]
+    slot = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(index.owner_start[windows], counts)
+    pairs = np.unique(np.repeat(document, counts) * len(index.items) + index.owners[slot]) if len(slot) else np.empty(0, np.int64)
+    out: list[list[str]] = [[] for _ in range(n)]
+    for d, i in zip((pairs // max(1, len(index.items))).tolist(), (pairs % max(1, len(index.items))).tolist(), strict=True):
+        out[d].append(index.items[i])
+    return [sorted(set(x)) for x in out]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -228,16 +278,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
     def scan(shared, everything: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index, prefix, is_prefix = shared.value
+            index, prefix = shared.value
             for batch in batches:
-                rows = []
-                for doc, digest, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch, "t"), strict=True):
-                    ids = _identifiers(t, index.words)
-                    spans, items = find_hits(ids, index, prefix, is_prefix)
-                    if spans or everything:
-                        joined = _covered(spans)
-                        rows.append((doc, digest, len(ids), [a for a, _ in joined], [b for _, b in joined], _spell(items)))
-                yield record_batch(schema, list(zip(*rows, strict=True)) if rows else [[]] * 6)
+                for first, texts in text_chunks(batch, "t", CHUNK_BYTES):
+                    n, passage = len(texts), Passage.read(texts, index)
+                    starts, windows = find_hits(passage, index, prefix)
+                    document = lambda at, own=passage: np.searchsorted(own.starts, at, side="right") - 1
+                    a, b = _stretches(passage, index, starts, windows)
+                    of = document(a)
+                    offsets = pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32))
+                    lists = [pa.ListArray.from_arrays(offsets, pa.array(x - passage.starts[of])) for x in (a, b)]
+                    columns = [batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(passage.sizes), *lists, pa.array(_spelt(document(starts), windows, index, n), pa.list_(pa.string()))]
+                    out = record_batch(schema, columns)
+                    yield out if everything else out.filter(pc.greater(pc.list_value_length(lists[0]), 0))
 
         return run
 
@@ -277,20 +330,22 @@ def contamination_table(docs: DataFrame, benchmark: DataFrame, **options) -> Dat
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the documents in which a benchmark window occurs; columns and other rows as they were.
 
-    Rows pass through in whole batches, so nothing is shuffled; several blocks of the benchmark filter in turn.
+    Null and empty texts stay, as do all rows if the benchmark is empty; repeated rows fare alike; an empty table gives an
+    empty one. Rows pass through in whole batches, so nothing is shuffled; several blocks of the benchmark filter in turn.
     """
     names = docs.columns
-    place = [n.lower() for n in names].index(text.lower())
+    name = names[[n.lower() for n in names].index(text.lower())]
     kind = docs.schema
     for shared in _prepared(docs, benchmark, text, item, item_text, block_bytes):
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, prefix, is_prefix = shared.value
+            index, prefix = shared.value
             for batch in batches:
-                texts = batch.column(place).cast(pa.binary()).to_pylist()
-                clean = [not find_hits(_identifiers(t, index.words), index, prefix, is_prefix)[0] for t in texts]
-                yield batch.filter(pa.array(clean, type=pa.bool_()))
+                for first, texts in text_chunks(batch, name, CHUNK_BYTES):
+                    passage = Passage.read(texts, index)
+                    clean = np.ones(len(texts), dtype=bool)
+                    clean[np.searchsorted(passage.starts, find_hits(passage, index, prefix)[0], side="right") - 1] = False
+                    yield batch.slice(first, len(texts)).filter(pa.array(clean))
 
         docs = docs.mapInArrow(keep, kind)
     return docs
-
