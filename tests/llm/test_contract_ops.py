@@ -84,13 +84,20 @@ def slow_line_fails(line, rules):
     if not words:
         return False
     runs = any(len(set(words[i : i + rules.repeat_words])) == 1 and i + rules.repeat_words <= len(words) for i in range(len(words)))
-    phrase = len(words) <= rules.phrase_words and any(p in line.lower() for p in quality.BOILERPLATE)
-    return len(re.findall(r"[#*$%&|<>]", line)) > rules.symbol_share * len(words) or len(re.findall("[|»›•·→]", line)) > rules.separators or line.count("!!") > rules.shouts or phrase or runs
+    low = " " + line.lower() + " "
+    said = [(m.start(), p) for own in quality.BOILERPLATE.values() for p in own for m in re.finditer("(?=" + re.escape(p) + ")", low)]
+    phrase = len(words) <= rules.phrase_words and any(not low[i - 1].isalpha() and not low[i + len(p)].isalpha() for i, p in said)
+    closed = re.search(r"""[.!?:;…。！？]["'”’»›)\]]*[ \t-\r]*\Z""", line) is not None
+    is_open = len(words) <= rules.open_words and not closed and re.search("[A-Za-zÀ-ɏͰ-ϿЀ-ӿ]", line) is not None
+    return len(re.findall(r"[#*$%&|<>]", line)) > rules.symbol_share * len(words) or len(re.findall("[|»›•·→]", line)) > rules.separators or line.count("!!") > rules.shouts or is_open or phrase or runs
 
 
 def test_quality_table(spark):
     rules = quality.LineRules()
     rows = [*corpus(), (2000, "\n".join(["the stone house walks under light"] * 12), "en", "s0", 1), (2001, ("word&&& other%%% thing*** " * 30), "en", "s0", 1), (2002, "Click here\n" + " ".join(f"w{i}" for i in range(60)), "en", "s0", 1), (2003, " ".join(f"W{i}!!" for i in range(60)), "en", "s0", 1)]
+    body = " ".join(f"w{i}" for i in range(60)) + "."
+    odd = ["Menu", "One sentence.", 'He said "so."  ', "Mehr erfahren!", "Umweiterlesens.", "Weiterlesen …", "ไทยไม่มีจุด", "Où est-il ?", "Tous droits réservés.", "12 34 56", "Ήρθε.", "Привет мир", "«Leer más.»", "bread more.", "end.\x85", "a: b;"]
+    rows += [(2100 + i, f"{body}\n{x}", "en", "s0", 1) for i, x in enumerate(odd)]
     got = {}
     for r in quality.quality_table(frame(spark, rows)).collect():
         got.setdefault(r.doc_id, []).append(r)

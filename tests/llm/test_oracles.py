@@ -32,7 +32,7 @@ def compared(df, con, sql):
 def lines():
     """Texts whose lines break each of the rules, and lines that just keep them."""
     body = " ".join(f"word{i}" for i in range(60))
-    odd = ["# $ % word", "a | b | c | d | e", "so!!!!!!!!!! loud", "Read MORE here", "go " * 10, "go " * 9 + "stop", "same line", "same line", "» a › b • c · d"]
+    odd = ["# $ % word", "a | b | c | d | e", "so!!!!!!!!!! loud", "Read MORE here", "go " * 10, "go " * 9 + "stop", "same line", "same line", "Menu", "One sentence.", 'He said "so."  ', "Mehr erfahren!", "Umweiterlesens.", "ไทยไม่มีจุด", "Tous droits réservés.", "Привет мир", "«Leer más.»", "bread more.", "it's conditions d'utilisation now.", "» a › b • c · d"]
     rows = [(5000 + i, body + "\n" + x, "en", "s0", 1) for i, x in enumerate(odd)]
     return rows + [(5100, "\n".join(odd * 3) + "\n" + body, "en", None, 1), (5101, (body + "\n") * 2 + "go " * 200, "fr", "s1", 1)]
 

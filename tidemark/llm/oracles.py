@@ -8,13 +8,17 @@ from __future__ import annotations
 
 from .decontam import WINDOW_WORDS
 from .mixing import MixPlan
-from .quality import BOILERPLATE, SYMBOLS, LineRules
+from .quality import CLOSED, LETTERS, PHRASES, SYMBOLS, LineRules
 
 WORDS = r"[^\x20\x09-\x0D]+"
 BENCHMARK_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def quoted(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
 def line_quality(rules: LineRules | None = None) -> str:
     r = rules or LineRules()
     symbols = f"[{SYMBOLS}]"
@@ -31,7 +35,8 @@ judged AS (
         length(line) - length(regexp_replace(line, '{symbols}', '', 'g')) > {r.symbol_share} * len(lw)
         OR length(line) - length(regexp_replace(line, '[|»›•·→]', '', 'g')) > {r.separators}
         OR length(line) - length(replace(line, '!!', '!')) > {r.shouts}
-        OR (len(lw) <= {r.phrase_words} AND regexp_matches(lower(line), '{"|".join(BOILERPLATE)}'))
+        OR (len(lw) <= {r.open_words} AND NOT regexp_matches(line, '{quoted(CLOSED)}') AND regexp_matches(line, '{LETTERS}'))
+        OR (len(lw) <= {r.phrase_words} AND regexp_matches(lower(line), '{quoted(PHRASES)}'))
         OR len(list_filter(range(1, len(lw) - {r.repeat_words - 2}), lambda k: len(list_distinct(lw[k : k + {r.repeat_words - 1}])) = 1)) > 0 AS fails
     FROM lines),
 by_line AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines, coalesce(sum(n) FILTER (NOT fails), 0) AS n_clean FROM judged GROUP BY r),

@@ -13,12 +13,18 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, WORD_CLASS
 
-#: Lower-case phrases that mark a line as navigation or boilerplate of a web page.
-BOILERPLATE = (
-    "accept all cookies", "all rights reserved", "back to top", "click here", "cookie policy", "enable javascript",
-    "forgot your password", "log in to", "lorem ipsum", "privacy policy", "read more", "share on facebook",
-    "sign up for", "skip to content", "subscribe to our", "terms of service", "terms of use", "use of cookies",
-)
+#: Lower-case phrases, by language, that mark a line as navigation or boilerplate of a web page.
+BOILERPLATE = {
+    "en": ("accept all cookies", "add to cart", "all rights reserved", "back to top", "click here", "cookie policy", "enable javascript", "forgot your password", "log in to", "lorem ipsum", "privacy policy", "read more", "share on facebook", "sign up for", "skip to content", "subscribe to our", "terms of service", "terms of use", "use of cookies"),
+    "fr": ("accepter tous les cookies", "ajouter au panier", "aller au contenu", "cliquez ici", "conditions d'utilisation", "en savoir plus", "inscrivez-vous", "lire la suite", "mentions légales", "mot de passe oublié", "politique de confidentialité", "retour en haut", "tous droits réservés"),
+    "de": ("alle cookies akzeptieren", "alle rechte vorbehalten", "cookie-richtlinie", "datenschutzerklärung", "in den warenkorb", "jetzt anmelden", "klicken sie hier", "mehr erfahren", "nach oben", "nutzungsbedingungen", "passwort vergessen", "weiterlesen", "zum inhalt springen"),
+    "es": ("aceptar todas las cookies", "añadir al carrito", "aviso legal", "haga clic aquí", "iniciar sesión", "ir al contenido", "leer más", "olvidó su contraseña", "política de cookies", "política de privacidad", "términos de uso", "todos los derechos reservados", "volver arriba"),
+}
+#: A phrase stands between characters that are no letters.
+PHRASES = r"(?:^|[^\p{L}])(?:" + "|".join(x for own in BOILERPLATE.values() for x in own) + r")(?:[^\p{L}]|$)"
+#: Marks that close a line, after which quotes and brackets may stand; and letters of scripts that use them.
+CLOSED = r"""[.!?:;…。！？]["'”’»›)\]]*""" + f"{SPACE_CLASS}*\\z"
+LETTERS = "[A-Za-zÀ-ɏͰ-ϿЀ-ӿ]"
 #: Fixed by the task.
 SYMBOLS = r"#*$%&|<>"
 
@@ -28,13 +34,15 @@ class LineRules:
     """Thresholds of the line rules and of the verdict.
 
     A line with words fails if it has more symbols than ``symbol_share`` of its words, more than ``separators``
-    bars, arrows or bullets between words, more than ``shouts`` doubled exclamation marks, a boilerplate phrase
-    in at most ``phrase_words`` words, or one word repeated in more than ``one_word_share`` of its words.
+    bars, arrows or bullets between words, more than ``shouts`` doubled exclamation marks, no closing mark after at most
+    ``open_words`` words in a script that has such marks, a boilerplate phrase in at most ``phrase_words`` words, or one
+    word ``repeat_words`` times in a row.
     """
 
     symbol_share: float = 0.3
     separators: int = 3
     shouts: int = 4
+    open_words: int = 12
     phrase_words: int = 25
     repeat_words: int = 10
     lost_share: float = 0.5
@@ -56,9 +64,10 @@ def line_fails(line: Column, n_words: Column, rules: LineRules) -> Column:
     symbols = _count(line, rf"[^{SYMBOLS}]+")
     bars = _count(line, "[^|»›•·→]+")
     shouts = F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("!")))
-    phrase = (n_words <= rules.phrase_words) & F.lower(line).rlike("|".join(BOILERPLATE))
+    is_open = (n_words <= rules.open_words) & ~line.rlike(CLOSED) & line.rlike(LETTERS)
+    phrase = (n_words <= rules.phrase_words) & F.lower(line).rlike(PHRASES)
     one_word = (n_words >= rules.repeat_words) & line.rlike(rf"(?:^|{SPACE_CLASS})({WORD_CLASS}+)(?:{SPACE_CLASS}+\1){{{rules.repeat_words - 1},}}(?:{SPACE_CLASS}|$)")
-    return (n_words > 0) & ((symbols > rules.symbol_share * n_words) | (bars > rules.separators) | (shouts > rules.shouts) | phrase | one_word)
+    return (n_words > 0) & ((symbols > rules.symbol_share * n_words) | (bars > rules.separators) | (shouts > rules.shouts) | is_open | phrase | one_word)
 
 
 def counted_lines(lines: Column) -> Column:
@@ -74,8 +83,8 @@ def kept_lines(counted: Column, rules: LineRules) -> Column:
 def quality_table(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: LineRules | None = None) -> DataFrame:
     """One row per document with counts, the base verdict, the words left after the line rules, and ``kept``.
 
-    A null or empty text has no words and fails the base; repeated rows give repeated results; other columns are
-    not read. Windows of three words are compared by a chained 64-bit hash within one text.
+    A null or empty text has no words and fails the base; repeated rows give repeated results; an empty table gives an
+    empty one; other columns are not read. Windows of three words are compared by a chained 64-bit hash within one text.
     """
     rules = rules or LineRules()
     source = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
