@@ -261,7 +261,7 @@ def test_license_table(spark):
 
 
 def slow_shingles(line):
-    return {line[i : i + 5] for i in range(max(1, len(line) - 4))}
+    return {line[i : i + 7] for i in range(max(1, len(line) - 6))}
 
 
 def slow_lines(rows):

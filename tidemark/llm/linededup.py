@@ -19,8 +19,9 @@ from . import bands
 from .common import bounded_batches, chunks, cut, record_batch, utf8
 from .sieve import matching
 
-#: Characters (code points) of a shingle. Lines are the same from a similarity of ``bands.JACCARD`` on.
-SHINGLE_CHARACTERS = 5
+#: Characters (code points) of a shingle: shorter ones make many more lines share a band by chance. Lines are the same from
+#: a similarity of ``bands.JACCARD`` on.
+SHINGLE_CHARACTERS = 7
 #: Bands and rows of a band: a pair at the threshold shares a band with a chance of 0.985, one at 0.9 of 0.9999.
 BANDS = 8
 ROWS = 4
