@@ -223,6 +223,28 @@ OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
 SOFTWARE."""
 
 
+BSD = """Copyright (c) 2001, somebody. All rights of the kind are theirs.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of {who} nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED."""
+
+
 @pytest.mark.parametrize(
     ("text", "want", "rest"),
     [
@@ -233,6 +255,15 @@ SOFTWARE."""
         ("THIS WORK IS LICENCED UNDER THE GNU GENERAL PUBLIC LICENCE, VERSION 3!", ["GPL-3.0-only"], []),
         (MIT.split("\n\n")[1], [], ["mit-notice"]),
         ("We talked about the MIT License yesterday.", [], []),
+        ("The tool is a small one, released by its authors under the terms of the MIT License since 2019.", ["MIT"], []),
+        ("// SPDX-License-Identifier: (MIT OR Apache-2.0)\nint x;", ["MIT", "Apache-2.0"], []),
+        ("# spdx-license-identifier: GPL-3.0-or-later", ["GPL-3.0-or-later"], []),
+        (BSD.format(who="the ACME Corporation"), ["BSD-3-Clause"], []),
+        (BSD.format(who="the copyright holder"), ["BSD-3-Clause"], []),
+        (BSD.replace("Neither", "A clause of which nobody knows permits no redistribution here.\nNeither").format(who="X"), [], ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"]),
+        ("Frob is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nFrob is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.", ["GPL-3.0-or-later"], []),
+        ("Available under LGPL v2.1 and distributed under the GNU General Public License version 2.", ["LGPL-2.1-only", "GPL-2.0-only"], []),
+        ("Licensed under the mitten license.", [], []),
         ("", [], []),
         (None, [], []),
     ],
@@ -243,9 +274,105 @@ def test_licences_of_a_text(text, want, rest):
 
 
 def test_every_known_sentence_is_found():
+    table, _, _, _, spelt = licenses._known()
+    assert all(licenses._HINT.search(x) for x in table) and all(n == licenses.normalise(n) for n in spelt if "licence" not in n)
+    assert all(licenses._HINT.search(n) for n in spelt)
+    for name, sentences in licenses.SENTENCES.items():
+        for sentence in sentences:
+            filled = sentence.replace(licenses.SLOT, "Some Name and Company")
+            assert {x for x, _ in licenses.sentence_ids(f"Before it.\n{filled}\nAfter it.")[1]} == {name}, sentence
+
+
+def slow_normal(text):
+    out = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789." else " " for c in text.lower().replace("licence", "license"))
+    return " ".join(out.split()).strip(" .")
+
+
+def slow_sentences(text):
+    """Cut after . ; : ! ? before white space, and at blank lines; character by character."""
+    out, own, i = [], "", 0
+    while i < len(text):
+        if text[i].isspace():
+            j = i
+            while j < len(text) and text[j].isspace():
+                j += 1
+            if (own and own[-1] in ".;:!?") or text[i:j].count("\n") > 1:
+                out.append(own)
+                own, i = "", j
+                continue
+        own += text[i]
+        i += 1
+    return [*out, own]
+
+
+def slow_matches(rule, words):
+    """Whether the words are a sentence of the catalogue, whose slots take one to twelve words."""
+    if not rule:
+        return not words
+    if rule[0] == "*":
+        return any(slow_matches(rule[1:], words[n:]) for n in range(1, min(12, len(words)) + 1))
+    return bool(words) and words[0] == rule[0] and slow_matches(rule[1:], words[1:])
+
+
+def slow_ids(text):
+    """Identifiers of sentences and statements, in order, by going through the whole catalogue for each sentence."""
+    rules = {}
     for name, sentences in licenses.SENTENCES.items():
         for sentence in sentences:
-            assert {x for x, _ in licenses.sentence_ids(f"Before it.\n{sentence}\nAfter it.")[1]} == {name}, sentence
+            for part in slow_sentences(sentence):
+                rule = tuple(w for i, x in enumerate(part.split("[*]")) for w in ([] if not i else ["*"]) + slow_normal(x).split())
+                if len([w for w in rule if w != "*"]) > 2:
+                    rules.setdefault(rule, set()).add(name)
+    names = {n: spdx for spdx, own in licenses.NAMES.items() for n in own}
+
+    def whole(words):
+        return next((next(iter(own)) for rule, own in rules.items() if len(own) == 1 and slow_matches(rule, words)), None)
+
+    out = []
+    for part in slow_sentences(text or ""):
+        words = slow_normal(part).split()
+        own = whole(words)
+        lines = [whole(slow_normal(line).split()) for line in part.split("\n")] if "\n" in part else []
+        found = [own] if own else [n for n in lines if n]
+        if not own:
+            if found:
+                words = slow_normal("\n".join(line for line, n in zip(part.split("\n"), lines, strict=True) if not n)).split()
+            at = 0
+            while at < len(words):
+                step = 1
+                if words[at] in licenses.STATED:
+                    for under in range(at + 1, min(at + 8, len(words))):
+                        rest = words[under + 1 :]
+                        hits = [(len(n), len(a.split()) + len(n.split()), names[n]) for a in licenses.ARTICLES for n in names if words[under] == "under" and rest[: len(a.split()) + len(n.split())] == a.split() + n.split()]
+                        if hits:
+                            found.append("name:" + max(hits)[2])
+                            step = under + 1 + max(hits)[1] - at
+                            break
+                at += step
+        for name in found:
+            if not (out and out[-1] == name):
+                out.append(name)
+    return out
+
+
+def test_sentences_against_a_slow_matcher():
+    """Texts of catalogue sentences with filled slots, statements and other words, wrapped and spelt in several ways."""
+    import random
+
+    rng = random.Random(3)
+    every = [s for own in licenses.SENTENCES.values() for s in own]
+    said = [f"{v} under {a}{n}" for v in licenses.STATED for a in licenses.ARTICLES[:6] for own in licenses.NAMES.values() for n in own]
+    other = ["The river runs under the stone house.", "Words without an end", "It is licensed to nobody.", "See the license file for more of this here.", "Copyright (c) 2020 Somebody.", "Released under pressure.", "1.", "http://example.org/licenses/x"]
+    for _ in range(250):
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            part = rng.choice([rng.choice(every), rng.choice(said), f"This tool is {rng.choice(said)} since 2019.", rng.choice(other)])
+            part = part.replace("[*]", " ".join(["Acme"] * rng.choice([1, 2, 12])))
+            part = rng.choice([part, part.upper(), part.replace("license", "licence"), part.replace(" of ", "\nof ")])
+            parts.append(part + rng.choice([".", "", "!"]))
+        text = "".join(p + rng.choice(["\n", "\n\n", " "]) for p in parts)
+        fast = [x for x, _ in licenses.sentence_ids(text)[1] if x != licenses.UNKNOWN]
+        assert [x for i, x in enumerate(fast) if not i or fast[i - 1] != x] == slow_ids(text), text
 
 
 def test_license_table(spark):
