@@ -1,6 +1,7 @@
 """The operators against brute force, on a small table of odd cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -226,6 +227,72 @@ def test_rejection_passes_columns_through(spark):
     assert {1000, 1001, 1002, 1004} <= gone and not any(i is not None and 0 <= i < 200 for i in gone)
 
 
+class SlowKneserNey:
+    """Interpolated Kneser-Ney over characters, with dictionaries and one probability at a time."""
+
+    def __init__(self, texts, alphabet, order=4):
+        self.order, self.size = order, len(alphabet) + 2
+        self.names = {c: i for i, c in enumerate(alphabet, start=1)}
+        self.counts = [Counter() for _ in range(order)]
+        for text in texts:
+            flow = self.flow(text)
+            self.counts[-1].update(tuple(flow[i - order + 1 : i + 1]) for i in range(order - 1, len(flow)))
+        for k in range(order - 1, 0, -1):
+            self.counts[k - 1].update(g[1:] for g in set(self.counts[k]))
+        self.discount = []
+        for own in self.counts:
+            once, twice = (sum(n == x for n in own.values()) for x in (1, 2))
+            self.discount.append(once / (once + 2 * twice) if once and twice else 0.5)
+
+    def flow(self, text):
+        """Two zeros, and the text's symbols between zeros, runs of which are one."""
+        out = [0]
+        for c in text.lower():
+            symbol = self.names.get(c, self.size - 1) if c.isalpha() else 0
+            if symbol or out[-1]:
+                out.append(symbol)
+        return [0] * (self.order - 2) + (out if out[-1] == 0 else [*out, 0])
+
+    def chance(self, gram):
+        p = 1 / self.size
+        for k in range(1, self.order + 1):
+            own, context = gram[-k:], gram[-k:][:-1]
+            after = [(g, n) for g, n in self.counts[k - 1].items() if g[:-1] == context]
+            if after:
+                total = sum(n for _, n in after)
+                p = max(0.0, self.counts[k - 1].get(own, 0) - self.discount[k - 1]) / total + self.discount[k - 1] * len(after) / total * p
+        return p
+
+    def entropy(self, text):
+        flow = self.flow(text)
+        bits = [-math.log2(self.chance(tuple(flow[i - self.order + 1 : i + 1]))) for i in range(self.order - 1, len(flow))]
+        return len(bits), sum(bits) / len(bits) if bits else 0.0
+
+
+def test_predictions_against_a_slow_model(spark):
+    rows = [r for r in corpus(n=36) if r[0] != 1008]
+    docs = frame(spark, rows)
+    sample = langid.training_sample(docs, "doc_id", "text", "lang")
+    model = langid.fit(sample)
+    by_lang = defaultdict(list)
+    for name, text in sample:
+        by_lang[name].append(text)
+    slow = {name: SlowKneserNey([t for i, t in enumerate(texts) if len(texts) < 10 or i % 5], model.alphabet) for name, texts in by_lang.items()}
+    got = {}
+    for r in langid.language_table(docs).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    texts = [r[1] or "" for r in rows]
+    sizes, bits = model.entropies(texts)
+    for (i, text, *_), size, own in zip(rows, sizes, bits, strict=True):
+        want = {name: slow[name].entropy(text or "") for name in model.languages}
+        if not any(c.isalpha() for c in text or ""):
+            assert size == 0 and got[i][0].lang_pred == "und" and got[i][0].rejected
+            continue
+        assert {n for n, _ in want.values()} == {size}
+        assert own == pytest.approx([want[name][1] for name in model.languages], rel=1e-5, abs=1e-6)
+        assert got[i][0].lang_pred == min(want, key=lambda n: want[n][1])
+
+
 # --- 7: SimHash
 
 

@@ -28,8 +28,14 @@ SYMBOLS = 1 << BITS
 #: Labelled documents of a language that may be sampled to fit its model, and to calibrate rejection.
 FIT_DOCUMENTS = 400
 CALIBRATE_DOCUMENTS = 100
-#: Rejection: standard deviations, of documents and of single characters, that a text may lie above the mean.
-DEVIATIONS = 8.0
+#: Sampled documents have at most so many bytes: longer ones would fill the driver and teach no more.
+SAMPLE_BYTES = 64 << 10
+#: Rejection: a text may lie above its language's mean by so many times what the calibration's texts and their excerpts
+#: lie above it, in standard deviations, and by LEAST_DEVIATIONS at least.
+MARGIN = 1.5
+LEAST_DEVIATIONS = 10.0
+#: Lengths (symbols) of the excerpts that calibration takes from the starts of texts.
+EXCERPTS = (10, 20, 40, 80, 160)
 CHUNK_BYTES = 4 << 20
 
 
@@ -124,7 +130,8 @@ def _found(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, default: flo
 
 @dataclass
 class Identifier:
-    """The models, and for each language the calibrated mean and deviations of the cross-entropy."""
+    """The models, and for each language the calibrated cross-entropy: its mean, the deviation of documents and that of
+    single characters, and how many of them a text may lie above the mean."""
 
     languages: list[str]
     alphabet: list[str]
@@ -132,6 +139,7 @@ class Identifier:
     mean: np.ndarray
     spread: np.ndarray
     grain: np.ndarray
+    most: np.ndarray
 
     def __getstate__(self) -> dict:
         """The lookup table is built in each worker and doesn't travel."""
@@ -160,6 +168,10 @@ class Identifier:
             bits[full, j] = np.add.reduceat(model.log2(distinct)[place], starts) / -sizes[full]
         return sizes, bits
 
+    def above(self, language: np.ndarray | int, bits: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How many standard deviations a text of that size is above the mean of its language."""
+        return (bits - self.mean[language]) / np.sqrt(self.spread[language] ** 2 + self.grain[language] ** 2 / np.maximum(sizes, 1))
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score from 0 to 1, rejected) of each text: its share of the languages' likelihoods per character,
         sharpened by the text's length. Null texts and texts without letters are unknown and rejected, score 0."""
@@ -170,18 +182,18 @@ class Identifier:
         rows = np.arange(len(texts))
         gap = (bits - bits[rows, best][:, None]) * np.minimum(sizes, 200)[:, None]
         score = 1.0 / np.exp2(-gap).sum(axis=1)
-        limit = self.mean[best] + DEVIATIONS * np.sqrt(self.spread[best] ** 2 + self.grain[best] ** 2 / np.maximum(sizes, 1))
         unknown = sizes == 0
-        rejected = unknown | (bits[rows, best] > limit)
+        rejected = unknown | (self.above(best, bits[rows, best], sizes) > self.most[best])
         names = [UNKNOWN if u else self.languages[b] for u, b in zip(unknown.tolist(), best.tolist(), strict=True)]
         return names, np.where(unknown, 0.0, np.clip(score, 0.0, 1.0)), rejected
 
 
 def training_sample(docs: DataFrame, key: str, text: str, lang: str) -> list[tuple[str, str]]:
     """(lang, text) of at most FIT_DOCUMENTS + CALIBRATE_DOCUMENTS labelled documents a language, the first in a
-    shuffle by a hash of id and text, with the documents held out of it. Whole texts; the bound is the sample's only."""
+    shuffle by a hash of id and text, without the documents held out. Whole texts of at most SAMPLE_BYTES; the bounds are
+    the sample's only."""
     most = FIT_DOCUMENTS + CALIBRATE_DOCUMENTS
-    labelled = docs.where(~held_out(F.col(key)) & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    labelled = docs.where(~held_out(F.col(key)) & F.col(lang).isNotNull() & (F.octet_length(F.col(text)) <= SAMPLE_BYTES) & F.col(text).rlike(r"\p{L}"))
     picked = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(1 << 40)).alias("h"))
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
@@ -219,15 +231,23 @@ def fit(sample: list[tuple[str, str]]) -> Identifier:
         fitted = [t for i, t in enumerate(texts) if i % 5] if len(texts) >= 10 else texts
         models.append(KneserNey.fit([symbols_of(t, table) for t in fitted], size=size))
         kept.append(rest)
-    own = Identifier(languages, letters, models, *(np.zeros(len(languages)) for _ in range(3)))
+    own = Identifier(languages, letters, models, *(np.zeros(len(languages)) for _ in range(4)))
     for j, rest in enumerate(kept):
-        sizes, bits = own.entropies(rest)
-        good = sizes > 0
-        weight = np.minimum(sizes[good], 1000)
-        own.mean[j] = np.average(bits[good, j], weights=weight) if good.any() else 6.0
-        long = good & (sizes >= 200)
-        own.spread[j] = max(0.05, float(bits[long, j].std()) if long.any() else 0.5)
-        own.grain[j] = 2.5
+        flows = [x for x in (symbols_of(t, table) for t in rest) if len(x) > 1]
+        single = [-models[j].log2(grams(x, ORDER)) for x in flows]
+        sizes, bits = np.array([len(x) for x in single]), np.array([x.mean() for x in single])
+        if not len(sizes):
+            own.mean[j], own.spread[j], own.grain[j], own.most[j] = 6.0, 0.5, 2.5, LEAST_DEVIATIONS
+            continue
+        weight = np.minimum(sizes, 1000)
+        own.mean[j] = np.average(bits, weights=weight)
+        long = sizes >= 200
+        own.spread[j] = max(0.05, float(bits[long].std()) if long.any() else 0.5)
+        own.grain[j] = max(0.5, float(np.concatenate(single).std()))
+        # The level is set on whole texts and on their excerpts, so that short texts fare no worse than long ones.
+        parts = [(len(x[:n]), x[:n].mean()) for x in single for n in (len(x), *EXCERPTS) if n <= len(x)]
+        worst = own.above(j, np.array([m for _, m in parts]), np.array([n for n, _ in parts])).max()
+        own.most[j] = max(LEAST_DEVIATIONS, MARGIN * float(worst))
     return own
 
 
@@ -267,7 +287,11 @@ def _by_chunks(own: Identifier, texts: list[str | None]) -> tuple[list[str], np.
 
 
 def drop_rejected(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", model: Identifier | None = None) -> DataFrame:
-    """``docs`` without the documents whose language is rejected; whole batches pass, nothing is shuffled."""
+    """``docs`` without the documents whose language is rejected; whole batches pass, nothing is shuffled.
+
+    Null texts and texts without a letter go; with nothing labelled to learn from, all do; repeated rows fare alike; an
+    empty table gives an empty one; other columns come back as they were.
+    """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, key, text, lang))
     place = [n.lower() for n in docs.columns].index(text.lower())
