@@ -485,7 +485,7 @@ def test_pipeline(spark, tmp_path):
     model = langid.train(docs)
     rejected = model.predict([r[1] for r in every])[2]
     rows = [r for r, no in zip(every, rejected, strict=True) if not no]
-    assert {r[0] for r in every} - {r[0] for r in rows} <= {1000, 1001, 1002, 1004}
+    assert {r[0] for r in every} - {r[0] for r in rows} <= {1000, 1001, 1002, 1004, 1007}  # 1007: single letters
     assert len({*slow_near_groups(rows)}) < len(rows) - 40
     keepers = {}
     for row, g in zip(rows, slow_near_groups(rows), strict=True):

@@ -25,6 +25,8 @@ SHINGLE_CHARACTERS = 7
 #: Bands and rows of a band: a pair at the threshold shares a band with a chance of 0.985, one at 0.9 of 0.9999.
 BANDS = 8
 ROWS = 4
+#: Lines (bytes) that are hashed at once.
+CACHED_BYTES = 100_000
 
 #: Odd multipliers: each puts the shingles' 32-bit hashes in another order. The last makes a shingle one number.
 _MULTIPLY = (np.random.default_rng(11).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
@@ -61,20 +63,22 @@ def shingle_codes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit key for each line and band, made of the band's minima and the band's number; and the lines' shingles."""
-    if not lines:
-        return np.empty((0, BANDS), dtype=np.int64), np.empty(0, dtype=np.int64)
-    codes, starts = shingle_codes(lines)
-    low = (codes ^ (codes >> np.uint64(32))).astype(np.uint32)
-    keys = np.empty((len(lines), BANDS), dtype=np.uint64)
-    for band in range(BANDS):
-        key = np.full(len(lines), band + 1, dtype=np.uint64)
-        for row in range(ROWS):
-            i = band * ROWS + row
-            least = np.minimum.reduceat(low * _MULTIPLY[i], starts)
-            key = _stir((key << np.uint64(7)) ^ least.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        keys[:, band] = key
-    return keys.view(np.int64), np.diff(np.append(starts, len(codes)))
+    """A 64-bit key for each line and band, made of the band's minima and the band's number; and the lines' shingles.
+
+    Lines are hashed in blocks that stay in a processor's cache.
+    """
+    keys, weights = np.empty((len(lines), BANDS), dtype=np.uint64), np.empty(len(lines), dtype=np.int64)
+    for a, b in chunks(lines, CACHED_BYTES):
+        codes, starts = shingle_codes(lines[a:b])
+        low = (codes ^ (codes >> np.uint64(32))).astype(np.uint32)
+        for band in range(BANDS):
+            key = np.full(b - a, band + 1, dtype=np.uint64)
+            for row in range(ROWS):
+                least = np.minimum.reduceat(low * _MULTIPLY[band * ROWS + row], starts)
+                key = _stir((key << np.uint64(7)) ^ least.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            keys[a:b, band] = key
+        weights[a:b] = np.diff(np.append(starts, len(codes)))
+    return keys.view(np.int64), weights
 
 
 def unpack_forms(forms: pa.Array) -> list[np.ndarray]:
@@ -91,23 +95,26 @@ def _lines(docs: DataFrame, key: str, text: str, row: str | None) -> DataFrame:
     number of shingles, its bands' keys.
 
     The keys come with the first line of a form in a batch; equal forms have equal keys. Every document also has a
-    row without line and id. ``row`` tells documents apart that share an id.
+    row without id, whose weight is the document's number of lines with a word. ``row`` tells documents apart that share
+    an id.
     """
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("id", pa.int64()), ("weight", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nothing = [None] * len(batch)
-            yield record_batch(schema, [batch.column(1), batch.column(0), nothing, nothing, nothing, [[]] * len(batch)])
             docs_of, rows_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch, "t")
             for a, b in chunks(texts, 2 << 20):
-                rows, forms = [], {}
+                rows, forms, counts = [], {}, []
                 for doc, row, text in zip(docs_of[a:b], rows_of[a:b], texts[a:b], strict=True):
+                    counts.append(-len(rows))
                     for n, line in enumerate((text or b"").split(b"\n")):
                         form = normal_form(line)
                         if form:
                             own = forms.setdefault(form, len(forms))
                             rows.append((row, doc, n, own))
+                    counts[-1] += len(rows)
+                nothing = [None] * (b - a)
+                yield record_batch(schema, [rows_of[a:b], docs_of[a:b], nothing, nothing, counts, [[]] * (b - a)])
                 if not rows:
                     continue
                 keys, weights = band_keys(list(forms))
@@ -141,28 +148,26 @@ def _forms_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return matching(every, F.col("id"), wanted, "id").join(wanted, "id", "left_semi").dropDuplicates(["id"])
 
 
-def line_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
-    """(row, doc_id, line, group, first) of every line with a word: its component, and whether it is the one that
-    stays, the first by document id (nulls last), row and line. A document also has a row without line and group. ``row``
-    names a column that numbers the rows; without it they are numbered here.
+def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """(row, doc_id, n_lines, n_kept, kept_lines) of every document: numbers of the lines that stay, comma-joined.
+
+    Of each component the first line stays, by document id (nulls last), row and line. ``row`` names a column that numbers
+    the rows; without it they are numbered here.
     """
     bounded_batches(docs.sparkSession)
     lines = cut(_lines(docs, key, text, row), "lines")
     # A form has its keys once a batch; bands take such repeats for one text.
     texts = lines.where("size(keys) > 0").select("id", F.col("id").alias("node"), "weight", "keys")
     roots = bands.link(texts, lambda wanted: _forms_of(docs, text, wanted), unpack_forms)
-    groups = lines.join(roots, lines["id"] == roots["node"], "left").select("row", "doc_id", "line", F.coalesce("root", "id").alias("group"))
+    # The first place of each form, then of each component; most forms are a component of their own.
     place = F.struct(F.col("doc_id").isNull().alias("late"), F.coalesce("doc_id", F.lit(0)).alias("doc"), F.col("row"), F.col("line"))
-    firsts = groups.where("group is not null").groupBy("group").agg(F.min(place).alias("place")).select(F.col("place.row").alias("r"), F.col("place.line").alias("n"))
-    same = (F.col("row") == F.col("r")) & (F.col("line") == F.col("n"))
-    return groups.join(firsts, same, "left").select("row", "doc_id", "line", "group", F.col("r").isNotNull().alias("first"))
-
-
-def _line_lists(groups: DataFrame) -> DataFrame:
-    return groups.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.count("line").alias("n_lines"), F.count(F.when(F.col("first"), 1)).alias("n_kept"),
-        F.array_join(F.array_sort(F.collect_list(F.when(F.col("first"), F.col("line")))).cast("array<string>"), ",").alias("kept_lines"),
-    )
+    forms = lines.where("id is not null").groupBy("id").agg(F.min(place).alias("place"))
+    met = cut(forms.join(roots, forms["id"] == roots["node"], "left").select("root", "place"), "places")
+    linked = met.where("root is not null").groupBy("root").agg(F.min("place").alias("place"))
+    stay = met.where("root is null").select("place").unionAll(linked.select("place"))
+    lists = stay.groupBy(F.col("place.row").alias("own")).agg(F.count(F.lit(1)).alias("n_kept"), F.array_join(F.array_sort(F.collect_list("place.line")).cast("array<string>"), ",").alias("kept_lines"))
+    every = lines.where("id is null").select("row", "doc_id", F.col("weight").alias("n_lines"))
+    return every.join(lists, F.col("row") == F.col("own"), "left").select("row", "doc_id", "n_lines", F.coalesce("n_kept", F.lit(0).cast("long")).alias("n_kept"), F.coalesce("kept_lines", F.lit("")).alias("kept_lines"))
 
 
 def line_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -172,7 +177,7 @@ def line_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     string); repeated rows are documents of their own, and of their lines the first row's stay; other columns are
     not read; an empty table gives an empty one.
     """
-    return _line_lists(line_groups(docs, key, text)).drop("row")
+    return kept_lines(docs, key, text).drop("row")
 
 
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -182,7 +187,7 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     repeated rows the first keeps its lines.
     """
     numbered = cut(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row")), "numbered")
-    kept = _line_lists(line_groups(numbered, row="row")).select(F.col("row").alias("own"), "kept_lines")
+    kept = kept_lines(numbered, row="row").select(F.col("row").alias("own"), "kept_lines")
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     chosen = F.split("kept_lines", ",")
     stays = lambda line, i: ~line.rlike(r"[^\x20\x09-\x0D]") | F.array_contains(chosen, i.cast("string"))

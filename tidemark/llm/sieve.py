@@ -26,11 +26,14 @@ def sifted(rows: DataFrame, key: Column, wanted: DataFrame, column: str) -> Data
     piece = F.bitmap_bucket_number(_bit(F.col(column)))
     # Keys are dealt by piece first: a task that has some keys of every piece would else write a whole bitmap.
     dealt = wanted.where(F.col(column).isNotNull()).select(piece.alias("__piece"), F.bitmap_bit_position(_bit(F.col(column))).alias("__at")).repartition("__piece")
-    pieces = dealt.groupBy("__piece").agg(F.bitmap_construct_agg("__at").alias("__map"))
-    place = F.bitmap_bit_position("__bit")
-    byte = F.conv(F.hex(F.substring("__map", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    built = dealt.groupBy("__piece").agg(F.bitmap_construct_agg("__at").alias("__bytes"))
+    # As whole numbers, a bit of which is read at once; the first byte is the highest.
+    number = lambda i: F.conv(F.hex(F.substring("__bytes", i * 8 + 1, F.lit(8))), 16, -10).cast("long")
+    pieces = built.select("__piece", F.transform(F.sequence(F.lit(0), F.lit(511)), number).alias("__map"))
+    place = F.bitmap_bit_position("__bit").cast("int")
+    at = F.lit(56) - F.shiftright(place % 64, 3) * 8 + place % 8
     met = rows.withColumn("__bit", _bit(key)).join(F.broadcast(pieces), F.bitmap_bucket_number("__bit") == F.col("__piece"), "left")
-    return met.withColumn("__may", F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))).drop("__bit", "__piece", "__map")
+    return met.withColumn("__may", F.coalesce(F.getbit(F.get("__map", F.shiftright(place, 6)), at) == 1, F.lit(False))).drop("__bit", "__piece", "__map")
 
 
 def matching(rows: DataFrame, key: Column, wanted: DataFrame, column: str) -> DataFrame:
