@@ -1,4 +1,5 @@
-"""DuckDB SQL for the operators whose whole result SQL can say: line quality, decontamination and the mix.
+"""DuckDB SQL for the operators whose whole result SQL can say: shards, line quality, SimHash groups, decontamination and
+the mix.
 
 Written from the contracts and the documented rules, not from the plans: windows are compared as text, queues are
 summed whole, and the budget's end is found by one ordered sum.
@@ -7,8 +8,11 @@ summed whole, and the budget's end is found by one ordered sum.
 from __future__ import annotations
 
 from .decontam import WINDOW_WORDS
+from .hash_sql import crc32, xxh64, xxh64_of_longs
 from .mixing import MixPlan
 from .quality import CLOSED, LETTERS, PHRASES, SYMBOLS, LineRules
+from .sharding import JUMP_MULTIPLIER, JUMP_SCALE, SLOT_BUCKETS
+from .simhash import MAX_BITS, SEED
 
 WORDS = r"[^\x20\x09-\x0D]+"
 BENCHMARK_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -90,5 +94,40 @@ taken AS (SELECT r, sum(size) AS taken FROM (SELECT r, size FROM turns QUALIFY s
 SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM queue LEFT JOIN taken USING (r)"""
 
 
+def shards(n: int = 8) -> str:
+    """Jump hashing by a recursive query: a key walks on until it has passed the last shard."""
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(octet_length(encode(text)), 0) + 1 AS size, {crc32("coalesce(text, '')")} AS text_crc32 FROM documents),
+{xxh64("(SELECT doc_id::VARCHAR AS s FROM documents WHERE doc_id IS NOT NULL)", "s", 42)},
+keys AS (SELECT text AS s, h FROM xxh_done UNION ALL SELECT NULL, 42::UBIGINT),
+walk AS (
+    SELECT s, n, h AS state, -1::BIGINT AS b, 0::BIGINT AS j FROM keys, (VALUES ({n}), ({n + 1})) t(n)
+    UNION ALL
+    SELECT s, n, state, j, floor((j + 1)::DOUBLE * ({JUMP_SCALE}::DOUBLE / (state // {1 << 33}::UBIGINT + 1)::DOUBLE))::BIGINT
+    FROM (SELECT s, n, j, ((state::UHUGEINT * {JUMP_MULTIPLIER}::UHUGEINT + 1) % {1 << 64}::UHUGEINT)::UBIGINT AS state FROM walk WHERE j < n)),
+found AS (SELECT s, max(b) FILTER (n = {n}) AS shard, max(b) FILTER (n = {n + 1}) AS grown FROM walk WHERE j >= n GROUP BY s),
+placed AS (SELECT d.*, shard, grown, {xxh64_of_longs(["doc_id", "size", "text_crc32"])} % {SLOT_BUCKETS}::UBIGINT AS bucket FROM d JOIN found ON d.doc_id::VARCHAR IS NOT DISTINCT FROM found.s)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+    row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown::INTEGER AS grown_shard
+FROM placed"""
+
+
+def simhash_groups() -> str:
+    """Fingerprints by counting each bit, links by comparing all pairs, components by a recursive query."""
+    sums = ", ".join(f"sum((h // {1 << b}::UBIGINT) % 2) AS b{b}" for b in range(64))
+    value = " + ".join(f"CASE WHEN 2 * b{b} > n THEN {1 << b}::UHUGEINT ELSE 0::UHUGEINT END" for b in range(64))
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, '{WORDS}') AS w FROM documents),
+g AS MATERIALIZED (SELECT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS text FROM d),
+{xxh64("g", "text", SEED)},
+counted AS (SELECT r, count(*) AS n, {sums} FROM g JOIN xxh_done USING (text) GROUP BY r),
+prints AS MATERIALIZED (SELECT d.doc_id, coalesce(({value})::UBIGINT, 0::UBIGINT) AS fp FROM d LEFT JOIN counted USING (r)),
+nodes AS MATERIALIZED (SELECT fp, min(doc_id) AS first_id FROM prints GROUP BY fp),
+links AS MATERIALIZED (SELECT a.fp AS a, b.fp AS b FROM nodes a JOIN nodes b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= {MAX_BITS}),
+reach AS (SELECT fp, fp AS other FROM nodes UNION SELECT reach.fp, links.b FROM reach JOIN links ON reach.other = links.a),
+least AS (SELECT reach.fp, min(first_id) AS component_id FROM reach JOIN nodes ON reach.other = nodes.fp GROUP BY reach.fp)
+SELECT doc_id, lpad(lower(to_hex(fp)), 16, '0') AS fingerprint, component_id FROM prints JOIN least USING (fp)"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_line_quality": line_quality(), "op8_decontaminate": decontamination(), "op9_fair_mix": fair_mix()}
+    return {"op1_jump_shards": shards(), "op2_line_quality": line_quality(), "op7_simhash_groups": simhash_groups(), "op8_decontaminate": decontamination(), "op9_fair_mix": fair_mix()}
