@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import bands
 from .common import bounded_batches, chunks, cut, record_batch, utf8
-from .sieve import matching
+from .sieve import bitmap, in_bitmap
 
 #: Characters (code points) of a shingle: shorter ones make many more lines share a band by chance. Lines are the same from
 #: a similarity of ``bands.JACCARD`` on.
@@ -135,6 +135,7 @@ def _lines(docs: DataFrame, key: str, text: str, row: str | None) -> DataFrame:
 def _forms_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """(id, payload) of the distinct lines in ``wanted`` (column id): their normal forms."""
     schema = pa.schema([("id", pa.int64()), ("payload", pa.binary())])
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "id"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,10 +143,11 @@ def _forms_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
             for a, b in chunks(texts, 2 << 20):
                 forms = list({form for t in texts[a:b] for line in (t or b"").split(b"\n") if (form := normal_form(line))})
                 ids = np.array([xxhash.xxh64_intdigest(f) for f in forms], dtype=np.uint64).view(np.int64)
-                yield record_batch(schema, [pa.array(ids), forms])
+                may = np.flatnonzero(in_bitmap(shared.value, ids))
+                yield record_batch(schema, [pa.array(ids[may]), [forms[i] for i in may.tolist()]])
 
-    every = docs.select(F.col(text).alias("t")).mapInArrow(scan, "id long, payload binary")
-    return matching(every, F.col("id"), wanted, "id").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    some = docs.select(F.col(text).alias("t")).mapInArrow(scan, "id long, payload binary")
+    return some.join(wanted, "id", "left_semi").dropDuplicates(["id"])
 
 
 def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
