@@ -232,17 +232,14 @@ def _corpus_counts(docs: DataFrame, text: str, shared, n: int) -> np.ndarray:
     return seen
 
 
-def _prepared(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, block_bytes: int) -> list:
-    """One broadcast (index, prefixes) per block of the benchmark."""
-    bounded_batches(docs.sparkSession)
-    context, ready = docs.sparkSession.sparkContext, []
-    for block in _blocks(benchmark, item, item_text, block_bytes):
-        index = build_index(block)
-        shared = context.broadcast(index)
-        prefix = rarest(index, _corpus_counts(docs, text, shared, index.shingles()))
-        shared.unpersist()
-        ready.append(context.broadcast((index, prefix)))
-    return ready
+def _prepared(docs: DataFrame, block: list[tuple[object, str | None]], text: str):
+    """The broadcast (index, prefixes) of one block of the benchmark, ordered by the shingles' counts in ``docs``."""
+    context = docs.sparkSession.sparkContext
+    index = build_index(block)
+    shared = context.broadcast(index)
+    prefix = rarest(index, _corpus_counts(docs, text, shared, index.shingles()))
+    shared.destroy()
+    return context.broadcast((index, prefix))
 
 
 def _stretches(passage: Passage, index: BenchmarkIndex, starts: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,13 +262,22 @@ def _spelt(document: np.ndarray, windows: np.ndarray, index: BenchmarkIndex, n:
     return [sorted(set(x)) for x in out]
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids, hashes and numbers of words."""
+    for batch in batches:
+        for first, texts in text_chunks(batch, "t", CHUNK_BYTES):
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)), pa.array(words_of(texts)[1])], ["doc_id", "text_hash", "n_words"])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, starts and ends of the hit stretches (in words), items (sorted strings).
 
     Null and empty texts have no words and no hits; repeated rows give repeated results; an empty benchmark hits
     nothing; other columns are not read. A benchmark over ``block_bytes`` is met block by block.
     """
-    ready = _prepared(docs, benchmark, text, item, item_text, block_bytes)
+    bounded_batches(docs.sparkSession)
+    blocks = _blocks(benchmark, item, item_text, block_bytes)
+    block, following = next(blocks), next(blocks, None)
     kind = "doc_id long, text_hash long, n_words long, starts array<long>, ends array<long>, items array<string>"
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("t"))
@@ -294,13 +300,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
         return run
 
-    result = narrow.mapInArrow(scan(ready[0], True), kind)
-    if len(ready) == 1:
-        return result.drop("text_hash")
+    if following is None:
+        return narrow.mapInArrow(scan(_prepared(docs, block, text), True), kind).drop("text_hash")
+    # One block after the other is met and written, so that a worker never holds more than one.
     hits = None
-    for shared in ready:
-        part = narrow.mapInArrow(scan(shared, False), kind).dropDuplicates(["doc_id", "text_hash"])
+    while block is not None:
+        shared = _prepared(docs, block, text)
+        part = cut(narrow.mapInArrow(scan(shared, False), kind).dropDuplicates(["doc_id", "text_hash"]), "block-hits")
+        shared.destroy()
         hits = part if hits is None else hits.unionAll(part)
+        block, following = following, next(blocks, None)
+    sizes = narrow.mapInArrow(_counted, "doc_id long, text_hash long, n_words long")
     # A document's stretches from all blocks meet in one row; the number of blocks bounds them.
     gathered = cut(hits.groupBy("doc_id", "text_hash").agg(F.sort_array(F.flatten(F.collect_list(F.arrays_zip("starts", "ends")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("all_items")), "hits")
     merged = F.aggregate(
@@ -310,7 +320,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     united = gathered.select(F.col("doc_id").alias("gd"), F.col("text_hash").alias("gt"), merged.alias("spans"), "all_items")
     same = F.col("doc_id").eqNullSafe(F.col("gd")) & (F.col("text_hash") == F.col("gt"))
     empty = F.array().cast("array<bigint>")
-    return result.select("doc_id", "text_hash", "n_words").join(united, same, "left").select(
+    return sizes.join(united, same, "left").select(
         "doc_id", "n_words",
         F.coalesce(F.col("spans.starts"), empty).alias("starts"), F.coalesce(F.col("spans.ends"), empty).alias("ends"),
         F.coalesce("all_items", F.array().cast("array<string>")).alias("items"),
@@ -331,12 +341,17 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     """``docs`` without the documents in which a benchmark window occurs; columns and other rows as they were.
 
     Null and empty texts stay, as do all rows if the benchmark is empty; repeated rows fare alike; an empty table gives an
-    empty one. Rows pass through in whole batches, so nothing is shuffled; several blocks of the benchmark filter in turn.
+    empty one. Rows pass through in whole batches, so nothing is shuffled; several blocks of the benchmark filter in turn,
+    and between them the rows are written, so that a worker never holds more than one block.
     """
+    bounded_batches(docs.sparkSession)
     names = docs.columns
     name = names[[n.lower() for n in names].index(text.lower())]
     kind = docs.schema
-    for shared in _prepared(docs, benchmark, text, item, item_text, block_bytes):
+    blocks = _blocks(benchmark, item, item_text, block_bytes)
+    block, following = next(blocks), next(blocks, None)
+    while True:
+        shared = _prepared(docs, block, text)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, prefix = shared.value
@@ -348,4 +363,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                     yield batch.slice(first, len(texts)).filter(pa.array(clean))
 
         docs = docs.mapInArrow(keep, kind)
-    return docs
+        if following is None:
+            return docs
+        docs = cut(docs, "clean")
+        shared.destroy()
+        block, following = following, next(blocks, None)

@@ -40,8 +40,8 @@ def _queue_key() -> Column:
 
 def _measured(docs: DataFrame, key: str, text: str, source: str, plan: MixPlan, row: Column | None = None) -> DataFrame:
     """Columns id, source, q (the source as a key that is never null), size, h (place in the shuffle, hex) and b (its
-    first digits: 4096 parts of a queue)."""
-    h = F.concat(F.md5(F.concat_ws(":", F.lit(plan.seed), F.coalesce(F.col(key).cast("string"), F.lit("")))), F.md5(F.coalesce(F.col(text), F.lit(""))))
+    first digits: 4096 parts of a queue). The place is of id and text, so many rows of one id, or none, spread over all parts."""
+    h = F.md5(F.concat(F.md5(F.concat_ws(":", F.lit(plan.seed), F.coalesce(F.col(key).cast("string"), F.lit("")))), F.md5(F.coalesce(F.col(text), F.lit("")))))
     size = F.when(F.col(text).isNull(), F.lit(0).cast("long")).otherwise(word_count(F.col(text)))
     out = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), size.alias("size"), h.alias("h"), *([row.alias("row")] if row is not None else []))
     return out.withColumn("b", F.substring("h", 1, 3)).withColumn("q", _queue_key())

@@ -76,7 +76,7 @@ def fair_mix(plan: MixPlan | None = None) -> str:
     return f"""
 WITH d AS MATERIALIZED (
     SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS size,
-        md5('{p.seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')) || md5(coalesce(text, '')) AS h
+        md5(md5('{p.seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')) || md5(coalesce(text, ''))) AS h
     FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS rank FROM d GROUP BY source),
 weighed AS (SELECT *, {list(p.weights)}[rank % {len(p.weights)} + 1] AS weight, {p.epochs} * source_size AS top, CAST({p.budget} * sum(source_size) OVER () AS DOUBLE) AS budget FROM s),

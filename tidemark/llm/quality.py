@@ -66,7 +66,7 @@ def line_fails(line: Column, n_words: Column, rules: LineRules) -> Column:
     shouts = F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("!")))
     is_open = (n_words <= rules.open_words) & ~line.rlike(CLOSED) & line.rlike(LETTERS)
     phrase = (n_words <= rules.phrase_words) & F.lower(line).rlike(PHRASES)
-    one_word = (n_words >= rules.repeat_words) & line.rlike(rf"(?:^|{SPACE_CLASS})({WORD_CLASS}+)(?:{SPACE_CLASS}+\1){{{rules.repeat_words - 1},}}(?:{SPACE_CLASS}|$)")
+    one_word = (n_words >= rules.repeat_words) & line.rlike(rf"(?:^|{SPACE_CLASS})({WORD_CLASS}+)(?:{SPACE_CLASS}+\1){{{rules.repeat_words - 1}}}(?:{SPACE_CLASS}|$)")
     return (n_words > 0) & ((symbols > rules.symbol_share * n_words) | (bars > rules.separators) | (shouts > rules.shouts) | is_open | phrase | one_word)
 
 
