@@ -434,7 +434,7 @@ def test_the_sieve_loses_no_match(spark, monkeypatch, bits):
     assert len(got) == 3004 and all(got[i] for i in got if i % 7 == 0 and i >= 0) and got[-2] and got[-3] and got[-4] and not got[-1]
     assert bits < 1 << 27 or sum(got.values()) < 440
     own = rows.where("h is not null").collect()
-    in_python = sieve.in_bitmap(sieve.bitmap(wanted, "w"), np.array([r.h for r in own], dtype=np.int64))
+    in_python = sieve.in_bitmap(sieve.bitmap(wanted, "w"), np.array([r.h for r in own], dtype=np.int64), bits)
     assert {r.id: bool(x) for r, x in zip(own, in_python, strict=True)} == {i: may for i, may in got.items() if i != -1}
     assert sieve.matching(rows, F.col("h"), wanted.limit(0), "w").count() == 0
 

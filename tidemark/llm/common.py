@@ -19,7 +19,7 @@ WORD_CLASS = r"[^\x20\x09-\x0D]"
 
 #: Rows and bytes of an Arrow batch; long documents make ten thousand rows too many for a worker's memory.
 BATCH_ROWS = 1000
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 
 _scratch: list[tuple[SparkSession, str]] = []
 

@@ -36,7 +36,7 @@ MARGIN = 1.5
 LEAST_DEVIATIONS = 10.0
 #: Lengths (symbols) of the excerpts that calibration takes from the starts of texts.
 EXCERPTS = (10, 20, 40, 80, 160)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def held_out(key: Column) -> Column:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bands
+from . import bands, sieve
 from .common import bounded_batches, chunks, cut, record_batch, utf8
 from .sieve import bitmap, in_bitmap
 
@@ -135,7 +135,7 @@ def _lines(docs: DataFrame, key: str, text: str, row: str | None) -> DataFrame:
 def _forms_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """(id, payload) of the distinct lines in ``wanted`` (column id): their normal forms."""
     schema = pa.schema([("id", pa.int64()), ("payload", pa.binary())])
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "id"))
+    shared, bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "id")), sieve.BITS
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +143,7 @@ def _forms_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
             for a, b in chunks(texts, 2 << 20):
                 forms = list({form for t in texts[a:b] for line in (t or b"").split(b"\n") if (form := normal_form(line))})
                 ids = np.array([xxhash.xxh64_intdigest(f) for f in forms], dtype=np.uint64).view(np.int64)
-                may = np.flatnonzero(in_bitmap(shared.value, ids))
+                may = np.flatnonzero(in_bitmap(shared.value, ids, bits))
                 yield record_batch(schema, [pa.array(ids[may]), [forms[i] for i in may.tolist()]])
 
     some = docs.select(F.col(text).alias("t")).mapInArrow(scan, "id long, payload binary")

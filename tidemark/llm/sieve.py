@@ -36,9 +36,9 @@ def bitmap(wanted: DataFrame, column: str) -> np.ndarray:
     return found.ravel()
 
 
-def in_bitmap(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which of the signed 64-bit hashes have their bit set."""
-    bit = hashes.astype(np.int64) % BITS
+def in_bitmap(found: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Which of the signed 64-bit hashes have their bit set, of ``bits``."""
+    bit = hashes.astype(np.int64) % bits
     # Spark's pieces: zero stands alone, then each has PIECE bits.
     at = np.where(bit > 0, bit + PIECE - 1, 0)
     return (found[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
