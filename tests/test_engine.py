@@ -145,7 +145,7 @@ def test_one_of_many_writers_wins_a_version(spark, tmp_path, kind):
         except CommitConflict:
             pass
 
-    many = [threading.Thread(target=write, args=(n,)) for n in range(8 if kind == "local" else 1)]
+    many = [threading.Thread(target=write, args=(n,)) for n in range(8)]
     [t.start() for t in many]
     [t.join() for t in many]
     write(99)
@@ -230,6 +230,25 @@ def test_stream(spark, tmp_path):
     assert len(rows(sink.table("t"))) == 6
 
 
+@pytest.mark.parametrize("driver_commits", [100, 0])
+def test_snapshots_replayed_by_driver_and_executors_agree(spark, tmp_path, driver_commits):
+    """Adds, removals, marks and metadata on top of a checkpoint, and without one."""
+    for interval in (3, 100):
+        table = Table(spark, str(tmp_path / f"{driver_commits}-{interval}"), interval=interval)
+        for i in range(5):
+            table.append(spark.createDataFrame([(i, "n", i)], ROW).coalesce(1), [SetTransaction(f"app{i % 2}", i)])
+        table.merge(source(spark, [(1, "x", 9, "UPDATE"), (2, None, None, "DELETE"), (8, "y", 8, "INSERT")]), ["id"])
+        at = snapshots.load(spark, table.store, table.path, driver_commits)
+        assert at.version == 6 and {a: t.version for a, t in at.transactions.items()} == {"app0": 4, "app1": 3}
+        assert at.commit_info.operation == "MERGE" and len(at.schema) == 3 and at.protocol.minWriterVersion == 2
+        assert sorted(tuple(r) for r in table.read(at).collect()) == [(0, "n", 0), (1, "x", 9), (3, "n", 3), (4, "n", 4), (8, "y", 8)]
+        assert at.files.keys() == at.sizes(spark).keys()
+        if not driver_commits and interval == 100:
+            table.store.write_commit(table.path, 7, b'{"other":{}}')
+            with pytest.raises(ValueError, match="unknown action"):
+                snapshots.load(spark, table.store, table.path, 0)
+
+
 def test_catalog_sync():
     sent, states, now = [], {"next": ("SUCCEEDED", None)}, [0.0]
     catalog = StatementCatalog(lambda sql: (sent.append(sql), states["next"])[1])
