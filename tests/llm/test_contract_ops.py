@@ -169,6 +169,26 @@ def test_token_search_by_id(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,1003)]" in found._jdf.queryExecution().toString()
 
 
+def test_token_files_have_indexes_bloom_filters_and_run_lengths(spark, tmp_path):
+    import pyarrow.orc as orc
+
+    path = str(tmp_path / "tokens")
+    rows = [(i, "the same few words here and there " * 3, "en", "s", 1) for i in range(3500)]
+    tokens.write_tokens(spark.createDataFrame(rows, DDL), path)
+    files = sorted(str(p) for p in (tmp_path / "tokens").glob("part-*.orc"))
+    readers = [orc.ORCFile(f) for f in files]
+    assert sum(r.nrows for r in readers) == 3500 and {r.row_index_stride for r in readers} == {tokens.GROUP_ROWS}
+    hadoop, orc_file = spark._jvm.org.apache.hadoop, spark._jvm.org.apache.orc.OrcFile
+    reader = orc_file.createReader(hadoop.fs.Path(files[0]), orc_file.readerOptions(hadoop.conf.Configuration()))
+    footer = reader.rows().readStripeFooter(reader.getStripes().get(0))
+    streams = {footer.getStreams(i).getKind().toString() for i in range(footer.getStreamsCount())}
+    assert {"ROW_INDEX", "BLOOM_FILTER_UTF8"} <= streams
+    # The struct itself and the two whole-number columns, the list and its elements: all in run lengths of version two.
+    kinds = [footer.getColumns(i).getKind().toString() for i in range(footer.getColumnsCount())]
+    assert kinds[1:] == ["DIRECT_V2"] * 4
+    assert sum(r.nrows for r in readers) * 20 > sum(p.stat().st_size for p in (tmp_path / "tokens").glob("part-*.orc"))
+
+
 # --- 5: language
 
 

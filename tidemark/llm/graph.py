@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     Alternating large-star and small-star contraction (Kiveris et al., 2014): each round is two aggregations and
     two joins on nodes, and the edge table never grows. Minima are combined before the shuffle, and the join
     leaves a node with very many edges to be split by adaptive execution. Every round is written to the shared
-    folder. Loops and null nodes are ignored; an empty table gives an empty one.
+    folder. Loops, repeated edges and edges with a null are ignored; an empty table gives an empty one.
     """
     current = cut(edges.select("a", "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     state = None

@@ -49,7 +49,11 @@ def fingerprint(text: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def with_fingerprints(docs: DataFrame, key: str, text: str, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, text_hash, fp) for every row; the fingerprint is a signed long."""
+    """(doc_id, text_hash, fp) for every row; the fingerprint is a signed long.
+
+    A null text has the hash of nothing and, as a text without words, fingerprint zero; repeated rows stay; an empty table
+    gives an empty one; other columns are not read.
+    """
     bounded_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
@@ -63,7 +67,8 @@ def with_fingerprints(docs: DataFrame, key: str, text: str, shingle_words: int =
 
 
 def with_sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_id, text_hash, fp, size, keys) for every row: with the size and the band keys of its shingle set."""
+    """(doc_id, text_hash, fp, size, keys) for every row: with the size and the band keys of its shingle set, which a text
+    without words does not have. Otherwise as ``with_fingerprints``."""
     bounded_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64()), ("size", pa.int32()), ("keys", pa.list_(pa.int64()))])
 
