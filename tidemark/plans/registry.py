@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,13 +51,21 @@ SRC = CHG + ", src AS (SELECT * FROM chg QUALIFY row_number() OVER (PARTITION BY
 MERGED = "SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, CASE WHEN s._op IS NULL THEN t.o_totalprice ELSE s.o_totalprice END AS o_totalprice, CASE WHEN s._op IS NULL THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus FROM tgt t FULL JOIN src s ON t.o_orderkey = s.o_orderkey WHERE s._op IS NULL OR s._op <> 'DELETE'"
 
 
+@cache
+def _own_root() -> str:
+    """A folder of this process, which goes when it ends."""
+    root = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def scratch(spark: SparkSession) -> str:
     """A fresh folder in the shared place; only a local session has one of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not (spark.sparkContext.master + "[").startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        root = _own_root()
     return f"{root.rstrip('/')}/tidemark-tables/{uuid.uuid4().hex}"
 
 
