@@ -39,3 +39,18 @@ def test_query_equals_its_sql(spark, database, name):
         place = [found.columns.index(n) for n in names]
         theirs = [tuple(plain(r[i]) for i in place) for r in found.fetchall()]
         assert sorted(ours, key=repr) == sorted(theirs, key=repr)
+
+
+def check_on_events(spark, folder, name, ids):
+    """The query against its SQL on events of these numbers."""
+    spark.createDataFrame([(i,) for i in ids], "event_id long").coalesce(1).write.parquet(f"{folder}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet/*.parquet')")
+    found = con.sql(queries.SQL[name])
+    ours = [tuple(r) for r in queries.QUERIES[name](spark, str(folder)).select(*found.columns).collect()]
+    assert sorted(ours, key=repr) == sorted(found.fetchall(), key=repr)
+
+
+def test_dates_beyond_four_digits_equal_the_sql(spark, tmp_path):
+    """The last day of year 9999 and the first of 10000, years before 0, and no number."""
+    check_on_events(spark, tmp_path, "q_dates", [0, 980_631, 980_632, 980_633, 5_999_999, -5, -236_843, -236_844, -300_000, None])
