@@ -1,11 +1,13 @@
 """Every table query against its SQL, on the smallest test tables."""
 
+import json
 import math
 from pathlib import Path
 
 import duckdb
 import pytest
 
+from tidemark.operators.stats import file_stats
 from tidemark.plans import queries
 
 DATA = "/root/testdata/sf0.001"
@@ -54,3 +56,15 @@ def check_on_events(spark, folder, name, ids):
 def test_dates_beyond_four_digits_equal_the_sql(spark, tmp_path):
     """The last day of year 9999 and the first of 10000, years before 0, and no number."""
     check_on_events(spark, tmp_path, "q_dates", [0, 980_631, 980_632, 980_633, 5_999_999, -5, -236_843, -236_844, -300_000, None])
+
+
+def test_times_beyond_four_digits_equal_the_sql(spark, tmp_path):
+    """The last time of year 9999 and the first of 10000, years of six digits, years before 0, and no number."""
+    check_on_events(spark, tmp_path, "q_iso", [0, 36_105, 36_106, 99_999, 131_000, 599_999, 1_200_000, -5_130, -6_000, -300_000, -1_000_000, None])
+
+
+def test_a_bound_that_is_null_is_left_out(spark):
+    """A column of times that are all null: its bounds were the text nullTnull:null:null.nullZ."""
+    df = spark.createDataFrame([(1, None), (2, None)], "k int, at timestamp")
+    own = json.loads(file_stats(df, []).first()["stats"])
+    assert own == {"numRecords": 2, "minValues": {"k": 1}, "maxValues": {"k": 2}, "nullCount": {"k": 0, "at": 2}}
